@@ -1,2 +1,2 @@
 from checks.registry import ORACLES, QUERIES  # noqa: F401
-from checks import gold_checks, merge_checks  # noqa: F401  (register on import)
+from checks import gold_checks, merge_checks, payload_checks  # noqa: F401  (register on import)
