@@ -1,2 +1,3 @@
 from checks.registry import ORACLES, QUERIES  # noqa: F401
-from checks import gold_checks, merge_checks, payload_checks  # noqa: F401  (register on import)
+# Importing a module registers its queries.
+from checks import gold_checks, library_checks, merge_checks, payload_checks  # noqa: F401
