@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import on_catalogue, register
+from checks.registry import on_catalogue, per_session, register
 from larder.functions import calendar
 from larder.operators import bronze, flatten, merge
 from larder.plans.silver import Warehouse
@@ -131,20 +131,25 @@ RECIPE_COLUMNS = """
     'img/' || p_partkey AS image_url"""
 
 
-def pages(spark: SparkSession, sf_dir: str) -> StarPages:
-    return StarPages(spark, sf_dir)
+@per_session
+def bronze_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze table of all pages, landed once per session and data folder."""
+    path = work_dir(spark, "pages")
+    landing.append_bronze(StarPages(spark, sf_dir).bronze, path)
+    return landing.read_bronze(spark, path)
 
 
 def menus_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.menu_documents(pages(spark, sf_dir).menus)
+    return flatten.menu_documents(bronze_pages(spark, sf_dir))
 
 
 def details_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten.recipe_documents(pages(spark, sf_dir).recipes)
+    return flatten.recipe_documents(bronze_pages(spark, sf_dir))
 
 
 register(
-    "bronze_page_audit", lambda spark, sf: bronze.page_audit(pages(spark, sf).menus),
+    "bronze_page_audit", lambda spark, sf: bronze.page_audit(
+        bronze_pages(spark, sf).filter("endpoint = 'menus'")),
     f"""SELECT month AS pull_date, 'menus' AS endpoint, 'en-GB' AS locale,
                (max(pb) + 1)::INTEGER AS pages_stored,
                (max(o_custkey % 40) + 1)::INTEGER AS pages_announced, count(*) AS records,
@@ -182,7 +187,7 @@ register(
     """SELECT l_partkey::VARCHAR AS recipe_id, l_suppkey::VARCHAR AS ingredient_id,
               quantity, unit, position
        FROM (SELECT l_orderkey, l_partkey, l_suppkey, sum(l_quantity)::BIGINT::VARCHAR AS quantity,
-                    min(l_linestatus) AS unit,
+                    if(l_suppkey % 2 = 0, 'g', 'pcs') AS unit,
                     (row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey // 50
                                         ORDER BY l_suppkey) - 1)::INTEGER AS position
              FROM lineitem GROUP BY l_orderkey, l_partkey, l_suppkey)
@@ -221,7 +226,7 @@ for kind, key, value in (("allergens", "allergen_id", "p_brand"), ("tags", "tag_
 
 
 def reference(spark: SparkSession, sf_dir: str, endpoint: str) -> DataFrame:
-    rows = flatten.reference_rows(getattr(pages(spark, sf_dir), endpoint), endpoint)
+    rows = flatten.reference_rows(bronze_pages(spark, sf_dir), endpoint)
     return rows.withColumn("present", F.array_join("present", ",")).drop(*flatten.LINEAGE, "seq")
 
 
@@ -263,14 +268,14 @@ SILVER_RECIPES = f"""
 
 def rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     house = Warehouse(spark, work_dir(spark, "rebuild"))
-    house.rebuild(pages(spark, sf_dir).bronze, ("recipes",))
+    house.rebuild(bronze_pages(spark, sf_dir), ("recipes",))
     return house.table("recipes")
 
 
 def appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newer pulls first, then the older ones: a backfill must not move dates or values."""
     house = Warehouse(spark, work_dir(spark, "append"))
-    everything = pages(spark, sf_dir).bronze
+    everything = bronze_pages(spark, sf_dir)
     for period in (F.col("pull_date") >= "1998-07-01", F.col("pull_date") < "1998-07-01"):
         house.append(everything.filter(period), ("recipes",))
     return house.table("recipes")
@@ -280,7 +285,7 @@ def rebuilt_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each silver table, folded from all pages."""
     from larder.plans.silver import fold_bronze
     counts = None
-    for name, state in fold_bronze(pages(spark, sf_dir).bronze).items():
+    for name, state in fold_bronze(bronze_pages(spark, sf_dir)).items():
         count = state.agg(F.count("*").alias("total")).select(
             F.lit(name).alias("table_name"), "total")
         counts = count if counts is None else counts.unionByName(count)

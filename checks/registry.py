@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.model import over_model
 from larder.plans import Catalogue
+from larder.schemas import GOLD
+from larder.session import work_dir
+from larder.sources.published import PublishedTable
 from larder.sources.star import AS_OF, StarMenus
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def per_session(build: Callable) -> Callable:
+    """Call ``build(spark, *arguments)`` once per Spark application and arguments."""
+    made: dict = {}
+
+    @functools.wraps(build)
+    def remembered(spark: SparkSession, *arguments):
+        key = (spark.sparkContext.applicationId, spark.sparkContext.startTime, *arguments)
+        if key not in made:
+            made[key] = build(spark, *arguments)
+        return made[key]
+
+    return remembered
+
+
+@per_session
 def catalogue(spark: SparkSession, sf_dir: str, compat: bool = False) -> Catalogue:
     return Catalogue(StarMenus(spark, sf_dir).builders(), as_of=AS_OF, compat=compat)
 
@@ -27,7 +46,27 @@ def register(name: str, build: Callable[[SparkSession, str], DataFrame],
         ORACLES[name] = over_model(sql)
 
 
+@per_session
+def stored_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
+    """The same silver tables; gold tables are published on first use and then read back, as
+    the query library expects them: stored."""
+    planned, home = catalogue(spark, sf_dir), work_dir(spark, "gold")
+
+    def publish(name: str) -> DataFrame:
+        return PublishedTable(spark, f"{home}/{name}").publish(planned[name])
+
+    builders = StarMenus(spark, sf_dir).builders()
+    builders.update({name: functools.partial(publish, name) for name in GOLD})
+    return Catalogue(builders, as_of=AS_OF)
+
+
 def on_catalogue(name: str, build: Callable[[Catalogue], DataFrame],
-                 sql: str | None = None, compat: bool = False) -> None:
-    """Register a query that only needs the table catalogue."""
+                 sql: str | None = None) -> None:
+    """Register a query of the library: silver tables and stored gold tables."""
+    register(name, lambda spark, sf_dir: build(stored_catalogue(spark, sf_dir)), sql)
+
+
+def on_silver(name: str, build: Callable[[Catalogue], DataFrame], sql: str | None = None,
+              compat: bool = False) -> None:
+    """Register a query that plans its gold tables from silver."""
     register(name, lambda spark, sf_dir: build(catalogue(spark, sf_dir, compat)), sql)

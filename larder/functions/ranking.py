@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def tie_slot(key: Column) -> Column:
-    """First two hex digits of the key's MD5: splits ties into 256 even slots."""
-    return F.substring(F.md5(key.cast("string")), 1, 2)
+    """First two hex digits of the key's MD5: splits ties into 256 even slots.
+
+    Never null, or the join on it would push a null check (and an MD5 per row) to the scan.
+    """
+    return F.coalesce(F.substring(F.md5(key.cast("string")), 1, 2), F.lit(""))
 
 
 def number_within(rows: DataFrame, group: list[str], measure: str, key: str,

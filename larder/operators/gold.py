@@ -192,9 +192,11 @@ def allergen_density(menus: DataFrame, menu_recipes: DataFrame, recipes: DataFra
         percent(F.col("recipe_count"), F.col("_total")).alias("percentage_of_menu"))
 
 
-def trend_slope(trends: DataFrame) -> DataFrame:
-    """Least-squares slope of weekly counts per ingredient over the listed week number."""
-    weeks = trends.select(WEEK).distinct().withColumn(
+def trend_slope(trends: DataFrame, menus: DataFrame) -> DataFrame:
+    """Least-squares slope of weekly counts per ingredient over the number of the week, which
+    is its place among all listed weeks (one row per week, so one small window)."""
+    weeks = menus.filter(F.col("start_date").isNotNull()).select(
+        F.col("start_date").alias(WEEK)).distinct().withColumn(
         "week_index", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(WEEK)))
     return trends.join(weeks, WEEK).groupBy("ingredient_id", "ingredient_name").agg(
         F.count("*").alias("weeks_present"),

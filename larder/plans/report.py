@@ -62,11 +62,9 @@ def stability_history(cat: Catalogue, day: date | str, limit: int = 5) -> DataFr
 
 
 def _trends_of_week(cat: Catalogue, day: date | str) -> DataFrame:
-    """Trends of the last listed week on or before ``day``. Weeks are looked up in the menus,
-    which is far cheaper than computing all trends twice."""
-    starts = cat.menus.filter(F.col("start_date").isNotNull()).select(
-        F.col("start_date").alias(WEEK))
-    return cat.ingredient_trends.filter(F.col(WEEK) == listed_week(starts, day))
+    """Trends of the report week, which all parts look up in the weekly metrics."""
+    return cat.ingredient_trends.filter(
+        F.col(WEEK) == listed_week(cat.weekly_menu_metrics, day))
 
 
 def week_trending(cat: Catalogue, day: date | str, limit: int = 5) -> DataFrame:

@@ -16,7 +16,7 @@ def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
     ``pull_date=…/endpoint=…/locale=…/page-<n>.json``."""
     files = T.StructType([T.StructField("value", T.StringType()),
                           *(BRONZE[name] for name in ("pull_date", "endpoint", "locale"))])
-    pages = spark.read.schema(files).option("wholetext", True).text(path)
+    pages = spark.read.schema(files).text(path, wholetext=True)
     number = F.regexp_extract("_metadata.file_name", r"(\d+)\.json$", 1).try_cast("int")
     return pages.select("pull_date", "endpoint", "locale", number.alias("page_number"),
                         F.col("value").alias("payload"))

@@ -57,10 +57,11 @@ class StarMenus:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        """Line items with the month and priority of their order."""
+        """Line items with the columns of their order."""
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("l_orderkey"),
-            month_of(F.col("o_orderdate")).alias("month"), "o_orderpriority")
+            month_of(F.col("o_orderdate")).alias("month"), "o_orderpriority", "o_orderdate",
+            "o_custkey")
         return self.table("lineitem").join(orders, "l_orderkey")
 
     def _line_links(self, *keys: Column, **extra: Column) -> DataFrame:

@@ -49,13 +49,14 @@ class StarPages:
         """Per group and supplier block: ingredient list; every 29th supplier has no id."""
         supplier = F.col("l_suppkey")
         per_supplier = lines.groupBy(*group, "l_suppkey", block("l_suppkey").alias("block")).agg(
-            F.sum("l_quantity").cast("long").alias("quantity"),
-            F.min("l_linestatus").alias("unit"), F.min("month").alias("month"))
+            F.sum("l_quantity").cast("long").alias("quantity"), F.min("month").alias("month"))
         return per_supplier.groupBy(*group, "block").agg(
             F.min("month").alias("month"),
             sorted_list(supplier.alias("n"),
-                        F.when(supplier % 29 != 0, supplier.cast("string")).otherwise("").alias("id"),
-                        F.col("quantity"), F.col("unit")).alias("ingredients"))
+                        F.when(supplier % 29 != 0, supplier.cast("string")).otherwise("")
+                        .alias("id"), F.col("quantity"),
+                        F.when(supplier % 2 == 0, "g").otherwise("pcs").alias("unit"),
+                        ).alias("ingredients"))
 
     @staticmethod
     def _page(rows: DataFrame, endpoint: str, pull: Column, page: Column,
@@ -70,15 +71,14 @@ class StarPages:
     @cached_property
     def menus(self) -> DataFrame:
         """One order per page, its parts as recipes; parts of size 50 have no id."""
-        recipes = self._ingredients(self.star.order_lines, "l_orderkey", "l_partkey").join(
+        order = ("l_orderkey", "o_orderdate", "o_custkey")
+        recipes = self._ingredients(self.star.order_lines, *order, "l_partkey").join(
             self._parts, "l_partkey")
-        pages = recipes.groupBy("l_orderkey", block("l_partkey").alias("page"), "block").agg(
+        pages = recipes.groupBy(*order, block("l_partkey").alias("page"), "block").agg(
             sorted_list(F.col("l_partkey").alias("n"),
                         F.when(F.col("p_size") != 50, F.col("l_partkey")).alias("id"),
                         "name", "headline", "difficulty", "prep_time", "servingSize",
                         "imagePath", "cuisine", "ingredients").alias("recipes"))
-        orders = self.star.table("orders").select(
-            F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_custkey")
         day = F.to_date("o_orderdate")
         menu = F.struct(F.col("l_orderkey").alias("id"),
                         F.concat(F.lit("menu/"), "l_orderkey").alias("url"),
@@ -88,8 +88,7 @@ class StarPages:
         last_page = (F.col("o_custkey") % 40 + 1).alias("last_page")
         document = F.to_json(F.struct(F.array(menu).alias("data"),
                                       F.struct(last_page).alias("meta")))
-        return self._page(pages.join(orders, "l_orderkey"), "menus", F.trunc(day, "month"),
-                          F.col("page") + 1, document)
+        return self._page(pages, "menus", F.trunc(day, "month"), F.col("page") + 1, document)
 
     @cached_property
     def recipes(self) -> DataFrame:
