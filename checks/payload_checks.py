@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from checks.registry import on_catalogue, per_session, register
 from larder.functions import calendar
 from larder.operators import bronze, flatten, merge
+from larder.library.shared import per_table
 from larder.plans.silver import Warehouse
+from larder.schemas import SILVER
 from larder.session import work_dir
 from larder.sources import landing
 from larder.sources.published import PublishedTable
@@ -282,14 +284,11 @@ def appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rebuilt_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each silver table, folded from all pages."""
-    from larder.plans.silver import fold_bronze
-    counts = None
-    for name, state in fold_bronze(bronze_pages(spark, sf_dir)).items():
-        count = state.agg(F.count("*").alias("total")).select(
-            F.lit(name).alias("table_name"), "total")
-        counts = count if counts is None else counts.unionByName(count)
-    return counts
+    """Rebuild all silver tables from all pages and count their rows."""
+    house = Warehouse(spark, work_dir(spark, "rebuild"))
+    house.rebuild(bronze_pages(spark, sf_dir))
+    return per_table({name: house.table(name) for name in SILVER}, SILVER,
+                     F.count("*").alias("total"))
 
 
 register("silver_rebuild", rebuilt, SILVER_RECIPES)

@@ -16,17 +16,18 @@ def prep_minutes():
     return leading_int(F.col("prep_time")).cast("double")
 
 
-def recipe_link_counts(cat: Catalogue, limit: int | None = 20) -> DataFrame:
+def recipe_link_counts(cat: Catalogue, limit: int = 20) -> DataFrame:
     """Active recipes with their link counts. The recipes are chosen first, so only the
-    links of those shown are read into the counts."""
-    shown = top(active(cat.recipes).select(
+    links of those shown are counted."""
+    chosen = top(active(cat.recipes).select(
         "id", "name", "difficulty", "prep_time", "is_active", "first_seen_date",
         "last_seen_date"), limit, "id")
-    count = links_of if limit is None else links_of_few
+    shown = chosen
     for out, bridge in (("ingredient_count", "recipe_ingredients"),
                         ("allergen_count", "recipe_allergens"), ("tag_count", "recipe_tags"),
                         ("menu_count", "menu_recipes")):
-        shown = count(active(cat[bridge]).select("recipe_id"), "recipe_id", shown, "id", out)
+        shown = links_of_few(active(cat[bridge]).select("recipe_id"), "recipe_id", shown, "id",
+                             out, chosen)
     return shown
 
 

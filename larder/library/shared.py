@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +30,7 @@ def stack(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def per_table(cat: Catalogue, tables: Iterable[str], *measures: Column,
+def per_table(cat: Catalogue | Mapping[str, DataFrame], tables: Iterable[str], *measures: Column,
               label: str = "table_name") -> DataFrame:
     """One row of the same measures for each table, map-side combined, in one job."""
     return stack(labelled(name, cat[name].agg(*measures), label) for name in tables)
@@ -60,16 +60,14 @@ def links_of(links: DataFrame, key: str, owners: DataFrame, owner_key: str,
             .withColumn(out, F.coalesce(F.col(out), F.lit(0))))
 
 
-def links_of_few(links: DataFrame, key: str, owners: DataFrame, owner_key: str,
-                 out: str) -> DataFrame:
+def links_of_few(links: DataFrame, key: str, owners: DataFrame, owner_key: str, out: str,
+                 chosen: DataFrame | None = None) -> DataFrame:
     """Like :func:`links_of` for owners already cut to a report size: only their links are
-    kept, and AQE turns the semi join into a broadcast once it has seen how few they are."""
-    few = owners.select(F.col(owner_key).alias(key))
+    kept, and AQE turns the semi join into a broadcast once it has seen how few they are.
+    ``chosen`` holds the owner keys where ``owners`` has become a larger plan."""
+    few = (owners if chosen is None else chosen).select(F.col(owner_key).alias(key))
     return links_of(links.join(few, key, "left_semi"), key, owners, owner_key, out)
 
 
 def newest_weeks(rows: DataFrame, limit: int | None) -> DataFrame:
     return top(rows, limit, F.desc("week_start_date"))
-
-
-Query = Callable[[Catalogue], DataFrame]

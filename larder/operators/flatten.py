@@ -8,6 +8,8 @@ positions are the 0-based array indexes, counting dropped items too.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,9 +138,17 @@ def listed_recipe_ids(menus: DataFrame) -> DataFrame:
     return ids.filter(has_key(F.col("recipe_id"))).distinct().orderBy("recipe_id")
 
 
-def silver_observations(bronze: DataFrame) -> dict[str, DataFrame]:
-    """Rows for every silver table, from all well-formed pages of all pulls given."""
-    menus, details = menu_documents(bronze), recipe_documents(bronze)
+def silver_observations(bronze: DataFrame,
+                        stage: Callable[[str, DataFrame], DataFrame] | None = None,
+                        ) -> dict[str, DataFrame]:
+    """Rows for every silver table, from all well-formed pages of all pulls given.
+
+    Menu documents feed four tables and recipe documents five. ``stage`` may write them and
+    read them back, so that JSON is parsed once and each table then reads its columns only.
+    """
+    keep = stage or (lambda name, rows: rows)
+    menus = keep("menus", menu_documents(bronze))
+    details = keep("recipes", recipe_documents(bronze))
     listed = menu_recipe_documents(menus)
     return {
         "menus": menu_rows(menus),

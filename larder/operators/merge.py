@@ -1,7 +1,8 @@
 """Keyed merge with first-seen and last-seen dates.
 
 The merge is a fold. Every key is reduced to one *state row*: earliest and latest pull date
-and, per attribute, the newest value together with the order it was written at. ``min``,
+and the newest attribute values together with the order they were written at (one order for
+all, or one per attribute where rows may carry only some of them). ``min``,
 ``max`` and "newest" are associative, commutative and idempotent, so states can be combined
 in any grouping: pulls may arrive late, twice or out of order and the table is the same. It
 also means map-side combining: a key holding a third of all observations is reduced to one
@@ -48,17 +49,21 @@ def fold(rows: DataFrame, keys: Sequence[str], attributes: Sequence[str],
     ``array<string>`` column listing the attributes a row really carries; an attribute that
     is absent keeps its older value, one that is present as null overwrites it.
     """
-    written = F.struct(F.col(pull).alias("pull"), *order)
+    written = F.struct(F.col(pull).alias("pull"), *order).alias("at")
 
     def newest(name: str) -> Column:
-        value = F.struct(written.alias("at"), F.col(name).alias("value"))
-        if present is not None:
-            value = F.when(F.array_contains(present, name), value)
-        return F.max(value).alias(_VERSION + name)
-
+        value = F.struct(written, F.col(name).alias("value"))
+        return F.max(F.when(F.array_contains(present, name), value)).alias(_VERSION + name)
+
+    if present is not None:
+        versions = [newest(name) for name in attributes]
+    elif attributes:  # written together, so they share one version
+        together = F.struct(written, F.struct(*attributes).alias("value"))
+        versions = [F.max(together).alias(_VERSION)]
+    else:
+        versions = []
     return rows.filter(has_key(*(F.col(key) for key in keys))).groupBy(*keys).agg(
-        F.min(pull).alias(FIRST), F.max(pull).alias(LAST),
-        *(newest(name) for name in attributes))
+        F.min(pull).alias(FIRST), F.max(pull).alias(LAST), *versions)
 
 
 def combine(*states: DataFrame) -> DataFrame:
@@ -80,8 +85,12 @@ def published(state: DataFrame, newest_pull: Column | None = None) -> DataFrame:
     Without ``newest_pull`` every key stays active, as in the published tables. With it, a
     key is active only if it was seen in that pull; its last seen date is kept.
     """
-    values = [F.col(f"{name}.value").alias(name.removeprefix(_VERSION))
-              for name in state.columns if name.startswith(_VERSION)]
+    values = []
+    for name in state.columns:
+        if name == _VERSION:
+            values.append(F.col(f"{name}.value.*"))
+        elif name.startswith(_VERSION):
+            values.append(F.col(f"{name}.value").alias(name.removeprefix(_VERSION)))
     keys = [name for name in state.columns
             if name not in {FIRST, LAST} and not name.startswith(_VERSION)]
     active = F.lit(1) if newest_pull is None else F.when(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from larder.operators import merge
 from larder.operators.flatten import ORDER, silver_observations
 from larder.schemas import SILVER, TABLES
+from larder.session import work_dir
 from larder.sources.published import PublishedTable
 
 
@@ -17,10 +20,12 @@ def fold_table(name: str, rows: DataFrame) -> DataFrame:
     return merge.fold(rows, table.keys, table.attribute_names, ORDER, present=present)
 
 
-def fold_bronze(bronze: DataFrame) -> dict[str, DataFrame]:
+def fold_bronze(bronze: DataFrame,
+                stage: Callable[[str, DataFrame], DataFrame] | None = None,
+                ) -> dict[str, DataFrame]:
     """State rows of all silver tables over the pulls given (malformed pages yield none)."""
     return {name: fold_table(name, rows)
-            for name, rows in silver_observations(bronze).items()}
+            for name, rows in silver_observations(bronze, stage).items()}
 
 
 class Warehouse:
@@ -32,16 +37,28 @@ class Warehouse:
     def store(self, name: str) -> PublishedTable:
         return PublishedTable(self.spark, f"{self.path}/{name}")
 
+    def _fold(self, bronze: DataFrame, tables: tuple[str, ...]) -> dict[str, DataFrame]:
+        """State rows; with several tables to write, parsed documents are staged as Parquet."""
+        if len(tables) == 1:
+            return fold_bronze(bronze)
+        home = work_dir(self.spark, "documents")
+
+        def stage(name: str, rows: DataFrame) -> DataFrame:
+            rows.write.parquet(f"{home}/{name}")
+            return self.spark.read.schema(rows.schema).parquet(f"{home}/{name}")
+
+        return fold_bronze(bronze, stage)
+
     def rebuild(self, bronze: DataFrame, tables: tuple[str, ...] = SILVER) -> None:
         """Recompute tables from all of bronze."""
-        states = fold_bronze(bronze)
+        states = self._fold(bronze, tables)
         for name in tables:
             self.store(name).publish(states[name])
 
     def append(self, new_pulls: DataFrame, tables: tuple[str, ...] = SILVER,
                version: int | None = None) -> None:
         """Merge new pages. Pages merged before, or pulls older than the table, do no harm."""
-        states = fold_bronze(new_pulls)
+        states = self._fold(new_pulls, tables)
         for name in tables:
             store = self.store(name)
             current = store.read(before=version)
