@@ -8,7 +8,8 @@ positions are the 0-based array indexes, counting dropped items too.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from larder.functions.calendar import iso_date
 from larder.operators.merge import has_key
-from larder.schemas import ITEM_PAGE, MENU_PAGE, RECIPE_DOC, TABLES
+from larder.schemas import ITEM_PAGE, MENU_PAGE, RECIPE_DOC, SILVER, TABLES
 
 LINEAGE = ("pull_date", "endpoint", "ingestion_timestamp", "page_number")
 ORDER = ("endpoint", "ingestion_timestamp", "page_number", "seq")
@@ -138,25 +139,27 @@ def listed_recipe_ids(menus: DataFrame) -> DataFrame:
     return ids.filter(has_key(F.col("recipe_id"))).distinct().orderBy("recipe_id")
 
 
-def silver_observations(bronze: DataFrame,
+def silver_observations(bronze: DataFrame, tables: Iterable[str] = SILVER,
                         stage: Callable[[str, DataFrame], DataFrame] | None = None,
                         ) -> dict[str, DataFrame]:
-    """Rows for every silver table, from all well-formed pages of all pulls given.
+    """Rows for silver tables, from all well-formed pages of all pulls given.
 
     Menu documents feed four tables and recipe documents five. ``stage`` may write them and
     read them back, so that JSON is parsed once and each table then reads its columns only.
     """
     keep = stage or (lambda name, rows: rows)
-    menus = keep("menus", menu_documents(bronze))
-    details = keep("recipes", recipe_documents(bronze))
-    listed = menu_recipe_documents(menus)
-    return {
-        "menus": menu_rows(menus),
-        "recipes": recipe_rows(listed).unionByName(recipe_rows(details)),
-        "menu_recipes": menu_recipe_rows(listed),
-        "recipe_ingredients": recipe_ingredient_rows(listed).unionByName(
-            recipe_ingredient_rows(details)),
-        **{f"recipe_{kind}": recipe_link_rows(details, kind)
+    menus = cache(lambda: keep("menus", menu_documents(bronze)))
+    details = cache(lambda: keep("recipes", recipe_documents(bronze)))
+    listed = cache(lambda: menu_recipe_documents(menus()))
+    both = lambda rows: rows(listed()).unionByName(rows(details()))
+    makers = {
+        "menus": lambda: menu_rows(menus()),
+        "recipes": lambda: both(recipe_rows),
+        "menu_recipes": lambda: menu_recipe_rows(listed()),
+        "recipe_ingredients": lambda: both(recipe_ingredient_rows),
+        **{f"recipe_{kind}": lambda k=kind: recipe_link_rows(details(), k)
            for kind in ("allergens", "tags", "labels")},
-        **{endpoint: reference_rows(bronze, endpoint) for endpoint in REFERENCE_ENDPOINTS},
+        **{endpoint: lambda e=endpoint: reference_rows(bronze, e)
+           for endpoint in REFERENCE_ENDPOINTS},
     }
+    return {name: makers[name]() for name in tables}

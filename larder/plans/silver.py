@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -20,12 +20,12 @@ def fold_table(name: str, rows: DataFrame) -> DataFrame:
     return merge.fold(rows, table.keys, table.attribute_names, ORDER, present=present)
 
 
-def fold_bronze(bronze: DataFrame,
+def fold_bronze(bronze: DataFrame, tables: Iterable[str] = SILVER,
                 stage: Callable[[str, DataFrame], DataFrame] | None = None,
                 ) -> dict[str, DataFrame]:
-    """State rows of all silver tables over the pulls given (malformed pages yield none)."""
+    """State rows of silver tables over the pulls given (malformed pages yield none)."""
     return {name: fold_table(name, rows)
-            for name, rows in silver_observations(bronze, stage).items()}
+            for name, rows in silver_observations(bronze, tables, stage).items()}
 
 
 class Warehouse:
@@ -40,14 +40,14 @@ class Warehouse:
     def _fold(self, bronze: DataFrame, tables: tuple[str, ...]) -> dict[str, DataFrame]:
         """State rows; with several tables to write, parsed documents are staged as Parquet."""
         if len(tables) == 1:
-            return fold_bronze(bronze)
+            return fold_bronze(bronze, tables)
         home = work_dir(self.spark, "documents")
 
         def stage(name: str, rows: DataFrame) -> DataFrame:
             rows.write.parquet(f"{home}/{name}")
             return self.spark.read.schema(rows.schema).parquet(f"{home}/{name}")
 
-        return fold_bronze(bronze, stage)
+        return fold_bronze(bronze, tables, stage)
 
     def rebuild(self, bronze: DataFrame, tables: tuple[str, ...] = SILVER) -> None:
         """Recompute tables from all of bronze."""
