@@ -544,9 +544,11 @@ on_catalogue(
 on_catalogue(
     "allergen_heatmap_rows",
     lambda cat: report.allergen_heatmap(cat, REPORT_DAY, HEATMAP_WEEKS[-1:]),
-    f"""SELECT allergen_name, percentage_of_menu AS "{HEATMAP_WEEKS[-1]}"
-        FROM allergen_density WHERE week_start_date = DATE '{HEATMAP_WEEKS[-1]}'
-        ORDER BY allergen_name LIMIT 20""")
+    f"""SELECT allergen_name, coalesce(max(percentage_of_menu) FILTER (
+                   week_start_date = DATE '{HEATMAP_WEEKS[-1]}'), 0) AS "{HEATMAP_WEEKS[-1]}"
+        FROM (FROM allergen_density WHERE week_start_date <= DATE '{REPORT_DAY}'
+              ORDER BY week_start_date DESC, allergen_name LIMIT 20)
+        GROUP BY allergen_name""")
 on_catalogue("survival_histogram", report.survival_histogram,
              """SELECT is_currently_active, total_weeks_active, count(*) AS recipe_count
                 FROM recipe_survival_metrics GROUP BY ALL""")

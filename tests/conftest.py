@@ -15,6 +15,9 @@ def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g", spark__ui__enabled="false",
+        # Tiny inputs: compiling a stage costs far more than running it.
+        spark__sql__codegen__wholeStage="false",
+        spark__python__sql__dataFrameDebugging__enabled="false",
         spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     return session
