@@ -22,6 +22,14 @@ def union(tables, select: str) -> str:
 ON, OFF = "count(*) FILTER (is_active = 1)", "count(*) FILTER (is_active = 0)"
 MINUTES = r"try_cast(regexp_extract(prep_time, '^\s*(\d+)', 1) AS INTEGER)"
 DAYS = "(last_seen_date - first_seen_date)::INTEGER"
+
+
+def exact_mean(column: str, digits: int) -> str:
+    """Mean of two-decimal values, rounded in decimal arithmetic."""
+    return f"""round((sum({column}::DECIMAL(9, 2)) / count({column}))::DECIMAL(18, 8),
+                     {digits})::DOUBLE"""
+
+
 LIVE_RECIPES = "(FROM recipes WHERE is_active = 1)"
 
 
@@ -222,10 +230,10 @@ on_catalogue(
        FROM allergen_density ORDER BY 1 DESC, 4 DESC, allergen_id LIMIT 20""")
 on_catalogue(
     "allergen_prevalence", insights.allergen_prevalence,
-    """SELECT allergen_name, count(*) AS weeks_present,
+    f"""SELECT allergen_name, count(*) AS weeks_present,
               round(avg(recipe_count), 1) AS avg_recipe_count,
               max(recipe_count) AS max_recipe_count,
-              round(avg(percentage_of_menu), 2) AS avg_pct_of_menu
+              {exact_mean('percentage_of_menu', 2)} AS avg_pct_of_menu
        FROM allergen_density GROUP BY ALL""")
 on_catalogue("stability_recent", insights.stability_recent, newest(
     """* RENAME (overlap_with_prev_week AS overlap_prev_week)""",
@@ -319,8 +327,8 @@ on_catalogue(
        FROM allergen_density""")
 on_catalogue(
     "stability_validation", validation.stability_validation,
-    """SELECT count(*) AS total_weeks, count(overlap_with_prev_week) AS weeks_with_overlap,
-              round(avg(overlap_with_prev_week), 3) AS avg_overlap,
+    f"""SELECT count(*) AS total_weeks, count(overlap_with_prev_week) AS weeks_with_overlap,
+              {exact_mean('overlap_with_prev_week', 3)} AS avg_overlap,
               min(overlap_with_prev_week) AS min_overlap,
               max(overlap_with_prev_week) AS max_overlap,
               count(new_recipe_rate) AS weeks_with_new_rate FROM menu_stability_metrics""")

@@ -34,3 +34,9 @@ def at_least(value: Column, floor: int) -> Column:
 def count_where(condition: Column) -> Column:
     """Rows meeting a condition; 0 (never null) when there are none."""
     return F.count(F.when(condition, F.lit(1)))
+
+
+def exact_mean(value: Column, digits: int, scale: int = 2) -> Column:
+    """Rounded mean of values that have ``scale`` decimals, summed as decimals: the result
+    does not depend on the order in which partitions are added up."""
+    return F.round(F.avg(value.cast(f"decimal(18,{scale})")), digits).cast("double")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.scalars import exact_mean
 from larder.library.shared import active, newest_weeks, one_row, row_count, top
 from larder.plans.catalogue import Catalogue
 
@@ -61,7 +62,7 @@ def allergen_prevalence(cat: Catalogue) -> DataFrame:
         F.countDistinct(WEEK).alias("weeks_present"),
         F.round(F.avg("recipe_count"), 1).alias("avg_recipe_count"),
         F.max("recipe_count").alias("max_recipe_count"),
-        F.round(F.avg("percentage_of_menu"), 2).alias("avg_pct_of_menu"),
+        exact_mean(F.col("percentage_of_menu"), 2).alias("avg_pct_of_menu"),
     ).orderBy(F.desc("avg_pct_of_menu"), "allergen_name")
 
 
@@ -74,8 +75,8 @@ def stability_recent(cat: Catalogue, limit: int | None = 10) -> DataFrame:
 
 def stability_trends(cat: Catalogue, limit: int | None = 12) -> DataFrame:
     return newest_weeks(cat.menu_stability_metrics.groupBy(WEEK).agg(
-        F.round(F.avg("overlap_with_prev_week"), 3).alias("avg_overlap"),
-        F.round(F.avg("new_recipe_rate"), 3).alias("avg_new_rate"),
+        exact_mean(F.col("overlap_with_prev_week"), 3).alias("avg_overlap"),
+        exact_mean(F.col("new_recipe_rate"), 3).alias("avg_new_rate"),
         F.sum("recipes_added").alias("total_added"),
         F.sum("recipes_removed").alias("total_removed")), limit)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.scalars import exact_mean
 from larder.library.shared import labelled, one_row, row_count, stack, sum_where
 from larder.plans.catalogue import Catalogue
 
@@ -78,7 +79,7 @@ def stability_validation(cat: Catalogue) -> DataFrame:
     overlap = F.col("overlap_with_prev_week")
     return cat.menu_stability_metrics.agg(
         F.count("*").alias("total_weeks"), F.count(overlap).alias("weeks_with_overlap"),
-        F.round(F.avg(overlap), 3).alias("avg_overlap"), F.min(overlap).alias("min_overlap"),
+        exact_mean(overlap, 3).alias("avg_overlap"), F.min(overlap).alias("min_overlap"),
         F.max(overlap).alias("max_overlap"),
         filled("new_recipe_rate").alias("weeks_with_new_rate"))
 
