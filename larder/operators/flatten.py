@@ -33,8 +33,13 @@ def _of(bronze: DataFrame, endpoint: str) -> DataFrame:
 
 def _items(rows: DataFrame, array: Column, *carry: str | Column, seq: Column,
            name: str) -> DataFrame:
-    """Explode ``array`` into ``name``, extend ``seq``, drop items without an id."""
-    exploded = rows.select(*carry, seq.alias("_outer"), F.posexplode(array).alias("_pos", name))
+    """Explode ``array`` into ``name``, extend ``seq``, drop items without an id.
+
+    The outer form, because for the inner one Spark infers a filter on the array's size and
+    so parses every JSON payload a second time; the id filter drops the empty rows anyway.
+    """
+    exploded = rows.select(*carry, seq.alias("_outer"),
+                           F.posexplode_outer(array).alias("_pos", name))
     return (exploded.withColumn("seq", F.concat("_outer", F.array("_pos")))
             .filter(has_key(F.col(f"{name}.id"))).drop("_outer"))
 
@@ -99,7 +104,7 @@ def reference_rows(bronze: DataFrame, endpoint: str) -> DataFrame:
     stored.update({column: key for key, column in RENAMED.items() if column in stored})
     page = F.from_json("payload", ITEM_PAGE)
     parsed = _of(bronze, endpoint).select(*LINEAGE, page.alias("_page"))
-    items = parsed.select(*LINEAGE, F.posexplode("_page.data").alias("_pos", "item"))
+    items = parsed.select(*LINEAGE, F.posexplode_outer("_page.data").alias("_pos", "item"))
     item = F.col("item")
     present = F.array_compact(F.array(*(
         F.when(F.map_contains_key(item, key), F.lit(column))
@@ -135,7 +140,7 @@ def recipe_link_rows(recipes: DataFrame, kind: str) -> DataFrame:
 
 def listed_recipe_ids(menus: DataFrame) -> DataFrame:
     """Distinct, sorted ids of all recipes listed on menus."""
-    ids = menus.select(F.explode("menu.recipes.id").alias("recipe_id"))
+    ids = menus.select(F.explode_outer("menu.recipes.id").alias("recipe_id"))
     return ids.filter(has_key(F.col("recipe_id"))).distinct().orderBy("recipe_id")
 
 
