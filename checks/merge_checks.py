@@ -150,7 +150,8 @@ register(
     lambda spark, sf: history.versions_as_of(versions(spark, sf), "2024-01-15", True),
     f"""SELECT * FROM ({HISTORY}) WHERE valid_from <= DATE '2024-01-15'
         AND (valid_to IS NULL OR valid_to >= DATE '2024-01-15')""")
-register("scd2_lifetimes", lambda spark, sf: history.closed_lifetimes(versions(spark, sf)),
+register("scd2_lifetimes", lambda spark, sf: history.closed_lifetimes(
+    versions(spark, sf), USER),
          f"""SELECT *, (valid_to - valid_from)::INTEGER AS days_active FROM ({HISTORY})
              WHERE valid_to IS NOT NULL""")
 register(

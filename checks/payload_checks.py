@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import on_catalogue, per_session, register
+from checks.registry import catalogue, on_catalogue, per_session, register
 from larder.functions import calendar
 from larder.operators import bronze, flatten, merge
+from larder.library import quality
 from larder.library.shared import per_table
 from larder.plans.silver import Warehouse
-from larder.schemas import SILVER
+from larder.schemas import GOLD, SILVER
 from larder.session import work_dir
 from larder.sources import landing
 from larder.sources.published import PublishedTable
@@ -310,16 +311,13 @@ register(
 
 
 def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish a gold table twice; readers get the second version."""
-    from checks.registry import catalogue
-    cat = catalogue(spark, sf_dir)
-    store = PublishedTable(spark, work_dir(spark, "gold"))
-    store.publish(cat.weekly_menu_metrics)
-    store.publish(cat.menu_stability_metrics)
-    return store.read()
+    """Publish all gold tables and count what readers now see."""
+    return quality.gold_row_counts(
+        catalogue(spark, sf_dir).refresh_gold(work_dir(spark, "gold")))
 
 
-register("gold_full_refresh", refreshed, "SELECT * FROM menu_stability_metrics")
+register("gold_full_refresh", refreshed, "\nUNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in GOLD))
 
 
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:

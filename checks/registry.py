@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.model import over_model
 from larder.plans import Catalogue
-from larder.schemas import GOLD
 from larder.session import work_dir
-from larder.sources.published import PublishedTable
 from larder.sources.star import AS_OF, StarMenus
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,14 +48,7 @@ def register(name: str, build: Callable[[SparkSession, str], DataFrame],
 def stored_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
     """The same silver tables; gold tables are published on first use and then read back, as
     the query library expects them: stored."""
-    planned, home = catalogue(spark, sf_dir), work_dir(spark, "gold")
-
-    def publish(name: str) -> DataFrame:
-        return PublishedTable(spark, f"{home}/{name}").publish(planned[name])
-
-    builders = StarMenus(spark, sf_dir).builders()
-    builders.update({name: functools.partial(publish, name) for name in GOLD})
-    return Catalogue(builders, as_of=AS_OF)
+    return catalogue(spark, sf_dir).storing_gold(work_dir(spark, "gold"))
 
 
 def on_catalogue(name: str, build: Callable[[Catalogue], DataFrame],

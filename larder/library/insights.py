@@ -46,8 +46,8 @@ def ingredient_history(cat: Catalogue, names: int = 5) -> DataFrame:
     longest = top(cat.ingredient_trends.groupBy("ingredient_name").agg(
         F.count("*").alias("n")), names, F.desc("n"), "ingredient_name")
     return (cat.ingredient_trends.join(longest, "ingredient_name", "left_semi")
-            .select("ingredient_name", WEEK, "recipe_count", "popularity_rank")
-            .orderBy("ingredient_name", F.desc(WEEK)))
+            .orderBy("ingredient_name", F.desc(WEEK), "ingredient_id")
+            .select("ingredient_name", WEEK, "recipe_count", "popularity_rank"))
 
 
 def allergen_by_week(cat: Catalogue, limit: int | None = 20) -> DataFrame:

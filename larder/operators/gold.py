@@ -34,21 +34,31 @@ def listed_weeks(menus: DataFrame) -> DataFrame:
 
 def weekly_items(menus: DataFrame, menu_recipes: DataFrame,
                  active_menus_only: bool = True) -> DataFrame:
-    """Distinct (week, recipe_id) of active links, with the number of menus carrying each.
+    """Distinct (week, recipe_id) of active links with ``menu_count``, the number of active
+    menus carrying the recipe (0 where only inactive ones do, if those are included).
 
     An inner join, so that AQE may split whichever side is skewed (the link side of a left
     join cannot be split). Weeks without links are added back from :func:`listed_weeks`.
     """
     weeks = (_active(menus) if active_menus_only else menus).filter(
         F.col("start_date").isNotNull()).select(
-        F.col("id").alias("menu_id"), F.col("start_date").alias(WEEK))
+        F.col("id").alias("menu_id"), F.col("start_date").alias(WEEK),
+        F.when(F.col("is_active") == 1, 1).otherwise(0).alias("_on"))
     links = _active(menu_recipes).select("menu_id", "recipe_id")
     return links.join(weeks, "menu_id").groupBy(WEEK, "recipe_id").agg(
-        F.count("*").alias("menu_count"))
+        F.sum("_on").alias("menu_count"))
+
+
+def _listed_items(menus: DataFrame, menu_recipes: DataFrame,
+                  items: DataFrame | None) -> DataFrame:
+    """Items on active menus, from the stored items of all menus if there are any."""
+    return (weekly_items(menus, menu_recipes) if items is None
+            else items.filter(F.col("menu_count") > 0))
 
 
 def weekly_menu_metrics(menus: DataFrame, menu_recipes: DataFrame, recipes: DataFrame,
-                        locale: str = LOCALE, compat: bool = False) -> DataFrame:
+                        locale: str = LOCALE, compat: bool = False,
+                        items: DataFrame | None = None) -> DataFrame:
     """Composition of each listed week.
 
     New and returning count distinct recipes, and preparation time averages the minutes that
@@ -60,7 +70,7 @@ def weekly_menu_metrics(menus: DataFrame, menu_recipes: DataFrame, recipes: Data
         F.col("id").alias("recipe_id"), F.col("first_seen_date").alias("_first"),
         F.col("difficulty").cast("double").alias("_difficulty"),
         (minutes_before_space if compat else leading_int)(F.col("prep_time")).alias("_prep"))
-    joined = weekly_items(menus, menu_recipes).join(facts, "recipe_id", "left")
+    joined = _listed_items(menus, menu_recipes, items).join(facts, "recipe_id", "left")
     rows = F.col("menu_count")
     weight = rows if compat else F.lit(1)
 
@@ -108,11 +118,12 @@ def recipe_survival_metrics(recipes: DataFrame, as_of: Column | date | str) -> D
 
 
 def ingredient_week_counts(ingredients: DataFrame, recipe_ingredients: DataFrame,
-                           recipes: DataFrame, menu_recipes: DataFrame,
-                           menus: DataFrame) -> DataFrame:
+                           recipes: DataFrame, menu_recipes: DataFrame, menus: DataFrame,
+                           items: DataFrame | None = None) -> DataFrame:
     """Distinct recipes per active ingredient and week. Inactive menus count here."""
-    items = weekly_items(menus, menu_recipes, active_menus_only=False).select(
-        WEEK, "recipe_id")
+    if items is None:
+        items = weekly_items(menus, menu_recipes, active_menus_only=False)
+    items = items.select(WEEK, "recipe_id")
     known = recipes.select(F.col("id").alias("recipe_id"))
     links = _active(recipe_ingredients).select("recipe_id", "ingredient_id")
     counts = (items.join(known, "recipe_id", "left_semi").join(links, "recipe_id")
@@ -131,13 +142,13 @@ def with_weekly_change(trends: DataFrame) -> DataFrame:
 
 def ingredient_trends(ingredients: DataFrame, recipe_ingredients: DataFrame,
                       recipes: DataFrame, menu_recipes: DataFrame, menus: DataFrame,
-                      compat: bool = False) -> DataFrame:
+                      compat: bool = False, items: DataFrame | None = None) -> DataFrame:
     """Weekly ingredient popularity with rank (ties by :func:`tie_slot`, then id).
 
     ``compat=True`` leaves the change at the constant 0 of the published tables.
     """
     counts = ingredient_week_counts(ingredients, recipe_ingredients, recipes, menu_recipes,
-                                    menus)
+                                    menus, items)
     changed = (counts.withColumn("week_over_week_change", F.lit(0).cast("long")) if compat
                else with_weekly_change(counts))
     ranked = number_within(changed, [WEEK], "recipe_count", "ingredient_id",
@@ -147,7 +158,8 @@ def ingredient_trends(ingredients: DataFrame, recipe_ingredients: DataFrame,
 
 
 def menu_stability_metrics(menus: DataFrame, menu_recipes: DataFrame,
-                           locale: str = LOCALE) -> DataFrame:
+                           locale: str = LOCALE,
+                           items: DataFrame | None = None) -> DataFrame:
     """Overlap of each listed week with the listed week before it, in percent of that week.
 
     A recipe is retained when its own previous week is the listed previous week, so one
@@ -155,7 +167,7 @@ def menu_stability_metrics(menus: DataFrame, menu_recipes: DataFrame,
     compare is one row per pair of weeks.
     """
     own_weeks = Window.partitionBy("recipe_id").orderBy(WEEK)
-    pairs = (weekly_items(menus, menu_recipes)
+    pairs = (_listed_items(menus, menu_recipes, items)
              .select(WEEK, F.lag(WEEK).over(own_weeks).alias("_seen_before"))
              .groupBy(WEEK, "_seen_before").agg(F.count("*").alias("_n")))
     by_week = Window.partitionBy("locale").orderBy(WEEK)
@@ -178,9 +190,10 @@ def menu_stability_metrics(menus: DataFrame, menu_recipes: DataFrame,
 
 
 def allergen_density(menus: DataFrame, menu_recipes: DataFrame, recipes: DataFrame,
-                     recipe_allergens: DataFrame, allergens: DataFrame) -> DataFrame:
+                     recipe_allergens: DataFrame, allergens: DataFrame,
+                     items: DataFrame | None = None) -> DataFrame:
     """Share of each week's recipes that carry an allergen."""
-    items = weekly_items(menus, menu_recipes).select(WEEK, "recipe_id")
+    items = _listed_items(menus, menu_recipes, items).select(WEEK, "recipe_id")
     totals = items.groupBy(WEEK).agg(F.count("*").alias("_total"))
     known = recipes.select(F.col("id").alias("recipe_id"))
     links = _active(recipe_allergens).select("recipe_id", "allergen_id")

@@ -72,11 +72,12 @@ def versions_as_of(history: DataFrame, day: Column | date | str,
     return history.filter((F.col(FROM) <= day) & (day <= ends if inclusive else day < ends))
 
 
-def closed_lifetimes(history: DataFrame) -> DataFrame:
-    """Days between opening and closing of every closed version, longest first."""
+def closed_lifetimes(history: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Days between opening and closing of every closed version, longest first. The order
+    ends in the unique key, or a sort could not split the many versions of equal length."""
     return (history.filter(F.col("is_active") == 0)
             .withColumn("days_active", F.datediff(TO, FROM))
-            .orderBy(F.desc("days_active"), FROM))
+            .orderBy(F.desc("days_active"), *keys, "version"))
 
 
 def attribute_changes(history: DataFrame, keys: Sequence[str], attribute: str) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 
 from larder.operators import gold
 from larder.schemas import GOLD
+from larder.sources.published import PublishedTable
+
+ITEMS = "weekly_items"
 
 
 class Catalogue:
@@ -36,19 +39,47 @@ class Catalogue:
         return self[name]
 
     def _gold_builder(self, name: str) -> Callable[[], DataFrame]:
+        if name == ITEMS:
+            return lambda: gold.weekly_items(self.menus, self.menu_recipes,
+                                             active_menus_only=False)
         if name not in GOLD:
             raise KeyError(f"no such table: {name}")
+        items = self[ITEMS] if ITEMS in self._builders else None
         return {
             "weekly_menu_metrics": lambda: gold.weekly_menu_metrics(
-                self.menus, self.menu_recipes, self.recipes, self.locale, self.compat),
+                self.menus, self.menu_recipes, self.recipes, self.locale, self.compat, items),
             "recipe_survival_metrics": lambda: gold.recipe_survival_metrics(
                 self.recipes, self.as_of),
             "ingredient_trends": lambda: gold.ingredient_trends(
                 self.ingredients, self.recipe_ingredients, self.recipes, self.menu_recipes,
-                self.menus, self.compat),
+                self.menus, self.compat, items),
             "menu_stability_metrics": lambda: gold.menu_stability_metrics(
-                self.menus, self.menu_recipes, self.locale),
+                self.menus, self.menu_recipes, self.locale, items),
             "allergen_density": lambda: gold.allergen_density(
                 self.menus, self.menu_recipes, self.recipes, self.recipe_allergens,
-                self.allergens),
+                self.allergens, items),
         }[name]
+
+    def _with(self, builders: Mapping[str, Callable[[], DataFrame]]) -> Catalogue:
+        return Catalogue({**self._builders, **builders}, self.as_of, self.locale, self.compat)
+
+    def storing_gold(self, path: str) -> Catalogue:
+        """This catalogue with gold tables written below ``path`` when first used.
+
+        They share one stored table of weekly items, so the menu links are joined once.
+        """
+        def stored(name: str, source: Catalogue) -> Callable[[], DataFrame]:
+            def build() -> DataFrame:
+                rows = source[name]
+                return PublishedTable(rows.sparkSession, f"{path}/{name}").publish(rows)
+            return build
+
+        staged = self._with({ITEMS: stored(ITEMS, self)})
+        return staged._with({name: stored(name, staged) for name in GOLD})
+
+    def refresh_gold(self, path: str) -> Catalogue:
+        """Recompute and publish all gold tables below ``path``."""
+        stored = self.storing_gold(path)
+        for name in GOLD:
+            stored[name]
+        return stored

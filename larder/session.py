@@ -32,16 +32,20 @@ def build_session(app: str = "larder", master: str | None = None, **settings: st
     return builder.getOrCreate()
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a machine-local folder: on a cluster the executors
     would each write to their own disk, so an unset folder is an error there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="larder-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _LOCAL_FOLDERS.setdefault(context.applicationId,
+                                         tempfile.mkdtemp(prefix="larder-"))
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -24,7 +24,7 @@ def test_documented_example(spark):
     assert table(history.current_versions(versions), "id") == [("R456",)]
     assert table(history.attribute_changes(versions, KEYS, "difficulty")) == [
         ("R123", 2, 3, "2026-01-29")]
-    assert table(history.closed_lifetimes(versions), "id", "version", "days_active") == [
+    assert table(history.closed_lifetimes(versions, KEYS), "id", "version", "days_active") == [
         ("R123", 1, 14), ("R123", 2, 7)]
 
 
