@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -12,6 +13,8 @@ from larder.schemas import SILVER, TABLES
 from larder.session import work_dir
 from larder.sources.published import PublishedTable
 
+WRITERS = 4  # tables written at the same time
+
 
 def fold_table(name: str, rows: DataFrame) -> DataFrame:
     """Observations of a silver table as state rows."""
@@ -49,22 +52,30 @@ class Warehouse:
 
         return fold_bronze(bronze, tables, stage)
 
+    def _each(self, publish: Callable[[str], object], tables: tuple[str, ...]) -> None:
+        """Publish tables side by side, so that small ones do not queue behind large ones. If
+        one fails the load can be repeated: merging what is already merged changes nothing."""
+        with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+            list(pool.map(publish, tables))
+
     def rebuild(self, bronze: DataFrame, tables: tuple[str, ...] = SILVER) -> None:
         """Recompute tables from all of bronze."""
         states = self._fold(bronze, tables)
-        for name in tables:
-            self.store(name).publish(states[name])
+        self._each(lambda name: self.store(name).publish(states[name]), tables)
 
     def append(self, new_pulls: DataFrame, tables: tuple[str, ...] = SILVER,
                version: int | None = None) -> None:
         """Merge new pages. Pages merged before, or pulls older than the table, do no harm."""
         states = self._fold(new_pulls, tables)
-        for name in tables:
+
+        def merge_one(name: str) -> None:
             store = self.store(name)
             current = store.read(before=version)
             state = states[name]
             store.publish(merge.combine(current, state) if current else state, version)
 
+        self._each(merge_one, tables)
+
     def table(self, name: str, newest_pull: Column | None = None) -> DataFrame:
         """A silver table; with ``newest_pull`` keys missing from that pull are inactive."""
         return merge.published(self.store(name).read(), newest_pull)
