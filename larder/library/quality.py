@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.library.shared import (active, labelled, one_row, per_table, row_count, stack,
-                                   sum_where, top)
+                                   sum_where)
 from larder.plans.catalogue import Catalogue
 from larder.schemas import BRIDGES, ENTITIES, GOLD, SILVER, TABLES
 

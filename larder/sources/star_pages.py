@@ -41,7 +41,8 @@ class StarPages:
             F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size",
             F.col("p_name").alias("name"), F.col("p_brand").alias("headline"),
             size.alias("difficulty"), F.concat(size, F.lit(" mins")).alias("prep_time"),
-            F.lit("2").alias("servingSize"), F.concat(F.lit("img/"), "p_partkey").alias("imagePath"),
+            F.lit("2").alias("servingSize"),
+            F.concat(F.lit("img/"), "p_partkey").alias("imagePath"),
             F.when(size % 17 != 0, F.struct(F.col("p_type").alias("name"))).alias("cuisine"))
 
     @staticmethod
