@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import quality_rules, reply_trees, sharding, url_reputation
+from larder.llm import bpe, quality_rules, reply_trees, sharding, token_counts, url_reputation
 from larder.llm.common import read
 from larder.llm.oracles import ORACLES
 
@@ -19,6 +20,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_lines", "n_upper", "fail_bits")
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.decoded(bpe.encoded(docs, path), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.placed(docs, 8).select(
@@ -45,6 +55,13 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.counted(docs, path).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 #: The rules of the query, as the contract states them, and the shared suffixes of its hosts.
 URL_RULES = [
     url_reputation.Rule("allow", "com", "/"),
@@ -67,7 +84,9 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,
     "op7_chat_formatting": op7_chat_formatting,
+    "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
 }
