@@ -42,6 +42,30 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM bits
 """
 
+OP2 = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda w: w <> '') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS win
+  FROM split, unnest(range(1, len(words) - 18)) AS r(i)),
+later AS (
+  SELECT doc_id, i FROM windows
+  QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1),
+covered AS (
+  SELECT DISTINCT doc_id, i + k AS place FROM later, unnest(range(20)) AS r(k)),
+placed AS (
+  SELECT doc_id, words[p] AS word, p FROM split, unnest(range(1, len(words) + 1)) AS r(p)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM placed ANTI JOIN covered ON placed.doc_id = covered.doc_id AND p = place
+  GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
+"""
+
 # DuckDB has no CRC-32: the table is made from its polynomial, then folded over the bytes.
 OP6 = r"""
 WITH crc AS (
@@ -158,6 +182,7 @@ FROM fits
 
 ORACLES = {
     "op1_quality_rules": OP1,
+    "op2_substring_dedup": OP2,
     "op6_sharding": OP6,
     "op7_chat_formatting": OP7,
     "op10_url_filters": OP10,

@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import bpe, quality_rules, reply_trees, sharding, token_counts, url_reputation
+from larder.llm import (
+    bpe,
+    decontamination,
+    quality_rules,
+    reply_trees,
+    rule_ensemble,
+    sharding,
+    substring_dedup,
+    token_counts,
+    url_reputation,
+)
 from larder.llm.common import read
 from larder.llm.oracles import ORACLES
 
@@ -20,6 +30,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_lines", "n_upper", "fail_bits")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicated(docs).select(
+        "row.doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that contain benchmark items, one row for each pair."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,6 +51,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    return rule_ensemble.scored(docs, rule_ensemble.fit(docs, labels))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.placed(docs, 8).select(
@@ -84,7 +112,10 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_bpe": op4_bpe,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_sharding": op6_sharding,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_token_counts": op9_token_counts,
