@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from larder.llm import (
     bpe,
     decontamination,
+    near_dedup,
     quality_rules,
     reply_trees,
     rule_ensemble,
@@ -83,6 +84,11 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.classified(docs)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -118,6 +124,7 @@ QUERIES = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_sharding": op6_sharding,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
 }
