@@ -149,7 +149,7 @@ spread AS (
            / nullif(n - nn / n, 0) / nullif((bad / n) * (1 - bad / n), 0) AS share
   FROM sums),
 weights AS (
-  SELECT level, p, greatest(1.0, least(1000.0, coalesce(
+  SELECT level, p, greatest(4.0, least(1000.0, coalesce(
            CASE WHEN share <= 0 THEN 1000.0 ELSE (1 - share) / share END, 1000.0)))::DOUBLE AS w
   FROM spread),
 w AS (

@@ -70,7 +70,7 @@ def domain_of(host: Column, suffix: Column) -> Column:
         F.concat(F.substring_index(head, ".", -1), F.lit("."), suffix))
 
 
-def strength(groups: DataFrame, least: float = 1.0, most: float = 1000.0) -> DataFrame:
+def strength(groups: DataFrame, least: float = 4.0, most: float = 1000.0) -> DataFrame:
     """One row: the prior's weight in pages, by moments of the groups' (n, bad)."""
     s = groups.agg(F.sum("n").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"),
                    F.count("*").cast("double").alias("m"),
