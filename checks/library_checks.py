@@ -551,7 +551,7 @@ on_catalogue(
            AND DATE '{REPORT_DAY}' GROUP BY allergen_name""")
 on_catalogue(
     "allergen_heatmap_rows",
-    lambda cat: report.allergen_heatmap(cat, REPORT_DAY, HEATMAP_WEEKS[-1:]),
+    lambda cat: report.allergen_heatmap(cat, REPORT_DAY, HEATMAP_WEEKS[-1:], rows=20),
     f"""SELECT allergen_name, coalesce(max(percentage_of_menu) FILTER (
                    week_start_date = DATE '{HEATMAP_WEEKS[-1]}'), 0) AS "{HEATMAP_WEEKS[-1]}"
         FROM (FROM allergen_density WHERE week_start_date <= DATE '{REPORT_DAY}'

@@ -40,7 +40,8 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def versions(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return history.version_history(daily(spark, sf_dir), USER, ["event_type"], **options)
+    return history.version_history(daily(spark, sf_dir), USER, ["event_type"],
+                                   pulls=seen(spark, sf_dir), **options)
 
 
 register(

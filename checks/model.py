@@ -141,7 +141,7 @@ MODEL: dict[str, str] = {
                       PARTITION BY ingredient_id ORDER BY week_start_date)
                   AS week_over_week_change,
                row_number() OVER (PARTITION BY week_start_date ORDER BY recipe_count DESC,
-                      left(md5(ingredient_id::VARCHAR), 2), ingredient_id)
+                      ingredient_id)
                   AS popularity_rank
         FROM ingredient_counts""",
     "week_sets": """

@@ -150,14 +150,28 @@ def details_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.recipe_documents(bronze_pages(spark, sf_dir))
 
 
+AUDITED = f"""
+    SELECT month AS pull_date, 'menus' AS endpoint, pb + 1 AS page,
+           o_custkey % 40 + 1 AS last_page, 1 AS records FROM ({PAGE_ORDERS})
+    UNION ALL
+    SELECT min(month), 'recipes', l_suppkey // 50 + 1, NULL, 1
+    FROM order_lines GROUP BY l_partkey, l_suppkey // 50
+    UNION ALL
+    SELECT DATE '1995-01-01', 'ingredients', s_suppkey // 50 + 1, NULL, 1 FROM supplier
+    UNION ALL SELECT DATE '1995-01-01', 'allergens', 1, NULL, count(DISTINCT p_brand) FROM part
+    UNION ALL SELECT DATE '1995-01-01', 'tags', 1, NULL, count(DISTINCT p_type) FROM part
+    UNION ALL SELECT DATE '1995-01-01', 'labels', 1, NULL, count(DISTINCT p_size) FROM part"""
+
 register(
-    "bronze_page_audit", lambda spark, sf: bronze.page_audit(
-        bronze_pages(spark, sf).filter("endpoint = 'menus'")),
-    f"""SELECT month AS pull_date, 'menus' AS endpoint, 'en-GB' AS locale,
-               (max(pb) + 1)::INTEGER AS pages_stored,
-               (max(o_custkey % 40) + 1)::INTEGER AS pages_announced, count(*) AS records,
-               max(pb) >= max(o_custkey % 40) AS is_complete
-        FROM ({PAGE_ORDERS}) GROUP BY month""")
+    "bronze_page_audit", lambda spark, sf: bronze.page_audit(bronze_pages(spark, sf)),
+    f"""SELECT pull_date, endpoint, 'en-GB' AS locale,
+               count(DISTINCT page) FILTER (page <= announced) AS pages_stored,
+               announced::INTEGER AS pages_announced, max(page)::INTEGER AS max_page,
+               sum(records)::BIGINT AS records,
+               count(DISTINCT page) FILTER (page <= announced) >= announced AS is_complete
+        FROM (SELECT *, coalesce(max(last_page) OVER (PARTITION BY pull_date, endpoint), 1)
+                     AS announced FROM ({AUDITED}))
+        GROUP BY pull_date, endpoint, announced""")
 register("menu_recipe_ids", lambda spark, sf: flatten.listed_recipe_ids(menus_of(spark, sf)),
          """SELECT DISTINCT l_partkey::VARCHAR AS recipe_id
             FROM lineitem JOIN part ON p_partkey = l_partkey WHERE p_size <> 50""")
@@ -334,8 +348,8 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream, lambda batch: merge.fold(batch, ["page_number", "endpoint"], ["payload"],
                                          ["payload"]),
         table, f"{home}/checkpoint")
-    newest = table.read().agg(F.max(merge.LAST)).scalar()
-    return merge.published(table.read(), newest)
+    state = merge.combine(*table.parts())
+    return merge.published(state, state.agg(F.max(merge.LAST)).scalar())
 
 
 register(

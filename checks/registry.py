@@ -46,9 +46,10 @@ def register(name: str, build: Callable[[SparkSession, str], DataFrame],
 
 @per_session
 def stored_catalogue(spark: SparkSession, sf_dir: str) -> Catalogue:
-    """The same silver tables; gold tables are published on first use and then read back, as
-    the query library expects them: stored."""
-    return catalogue(spark, sf_dir).storing_gold(work_dir(spark, "gold"))
+    """The same tables as the query library expects them, stored: silver and gold tables are
+    published on first use and then read back."""
+    home = work_dir(spark, "catalogue")
+    return catalogue(spark, sf_dir).storing_silver(home).storing_gold(home)
 
 
 def on_catalogue(name: str, build: Callable[[Catalogue], DataFrame],

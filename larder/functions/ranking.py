@@ -6,25 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def tie_slot(key: Column) -> Column:
-    """First two hex digits of the key's MD5: splits ties into 256 even slots.
-
-    Never null, or the join on it would push a null check (and an MD5 per row) to the scan.
-    """
-    return F.coalesce(F.substring(F.md5(key.cast("string")), 1, 2), F.lit(""))
+def key_range(key: Column, numeric: bool) -> Column:
+    """A value that never falls as the key grows, and is shared by neighbouring keys only: whole
+    numbers in steps of 1024, texts by their first four letters. Never null, or the join on it
+    would push a null check to the scan."""
+    if numeric:
+        return F.coalesce(F.floor(key / 1024).cast("long"), F.lit(-(1 << 62)))
+    return F.coalesce(F.substring(key.cast("string"), 1, 4), F.lit(""))
 
 
 def number_within(rows: DataFrame, group: list[str], measure: str, key: str,
                   out: str) -> DataFrame:
-    """``row_number`` over (group, measure desc, tie slot, key) without one task per group.
+    """``row_number`` over (group, measure desc, key) without one task per group.
 
     A plain window sorts each group in one task; a week with a third of all rows would sink
-    it. Here rows are numbered inside small cells (group, measure, slot) and every cell is
-    shifted by the size of the cells before it. Cells are counted with map-side combining;
-    the running total covers cells, not rows: distinct measure values x 256.
+    it. Here rows are numbered inside small cells (group, measure, range of keys) and every cell
+    is shifted by the size of the cells before it. Cells are counted with map-side combining;
+    the running total covers cells, not rows.
     """
+    numeric = dict(rows.dtypes)[key] in ("int", "bigint", "smallint", "tinyint")
     cell = [*group, measure, "_slot"]
-    slotted = rows.withColumn("_slot", tie_slot(F.col(key)))
+    slotted = rows.withColumn("_slot", key_range(F.col(key), numeric))
     before = Window.partitionBy(*group).orderBy(F.desc(measure), F.asc("_slot")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     offsets = (slotted.groupBy(*cell).agg(F.count("*").alias("_n"))

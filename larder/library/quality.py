@@ -74,7 +74,9 @@ def recipes_without_links(cat: Catalogue) -> DataFrame:
     recipes = active(cat.recipes).select(F.col("id").alias("recipe_id"))
 
     def lacking(bridge: str) -> DataFrame:
-        return row_count(recipes.join(active(cat[bridge]), "recipe_id", "left_anti"))
+        # Distinct combines before the shuffle: only the left side of an anti join is split.
+        linked = active(cat[bridge]).select("recipe_id").distinct()
+        return row_count(recipes.join(linked, "recipe_id", "left_anti"))
 
     return one_row(**{f"recipes_with_no_{kind}": lacking(f"recipe_{kind}")
                       for kind in ("ingredients", "allergens", "tags")})

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.calendar import as_date, iso_date
-from larder.schemas import ANY_PAGE
 
 
 def latest_pull(bronze: DataFrame) -> DataFrame:
@@ -35,18 +34,35 @@ def malformed(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("payload").isNull() | ~is_json(F.col("payload")))
 
 
+PAGE = "struct<id:string,data:string,meta:struct<last_page:int>>"
+
+
 def page_audit(bronze: DataFrame) -> DataFrame:
-    """Per pull, endpoint and locale: pages stored against pages announced, and records.
+    """Per pull, endpoint and locale: distinct pages stored of those announced, the highest page
+    number and the records of all responses.
 
-    A response without ``meta.last_page`` announces one page; an empty page counts as stored.
+    A response without ``meta.last_page`` announces one page; an empty page counts as stored, a
+    second response of a page does not. Records are counted in all accepted shapes: a list or one
+    object under ``data``, a bare list, a bare object with an id.
     """
-    page = F.from_json("payload", ANY_PAGE)
-    return (bronze.select("pull_date", "endpoint", "locale", "page_number", page.alias("_page"))
-            .groupBy("pull_date", "endpoint", "locale").agg(
-                F.max("page_number").alias("pages_stored"),
-                F.coalesce(F.max("_page.meta.last_page"), F.lit(1)).alias("pages_announced"),
-                F.sum(F.coalesce(F.array_size("_page.data"), F.lit(0))).alias("records"))
-            .withColumn("is_complete", F.col("pages_stored") >= F.col("pages_announced")))
+    place, text = ["pull_date", "endpoint", "locale"], F.ltrim("payload")
+    bare = F.when(text.startswith("["), text)
+    page = F.from_json(F.when(~text.startswith("["), text), PAGE)
+    one = F.coalesce(F.col("_page.data").startswith("{"), F.lit(False)) | (
+        F.col("_page.data").isNull() & F.col("_page.id").isNotNull())
+    pages = (bronze.select(*place, "page_number", page.alias("_page"), bare.alias("_bare"))
+             .select(*place, "page_number", F.col("_page.meta.last_page").alias("_last"),
+                     F.when(one, 1).otherwise(F.coalesce(F.json_array_length(
+                         F.coalesce("_bare", "_page.data")), F.lit(0))).alias("_records"))
+             .groupBy(*place, "page_number").agg(F.max("_last").alias("_last"),
+                                                 F.sum("_records").alias("_records")))
+    announced = pages.groupBy(*place).agg(
+        F.coalesce(F.max("_last"), F.lit(1)).alias("pages_announced"))
+    return (pages.join(announced, place).groupBy(*place, "pages_announced").agg(
+        F.count_if(F.col("page_number").between(1, F.col("pages_announced"))).alias("pages_stored"),
+        F.max("page_number").alias("max_page"), F.sum("_records").alias("records"))
+        .select(*place, "pages_stored", "pages_announced", "max_page", "records",
+                (F.col("pages_stored") >= F.col("pages_announced")).alias("is_complete")))
 
 
 def summary(bronze: DataFrame) -> DataFrame:

@@ -87,7 +87,7 @@ def weekly_menu_metrics(menus: DataFrame, menu_recipes: DataFrame, recipes: Data
     weeks = listed_weeks(menus).join(per_week, WEEK, "left")
     if compat:
         # Every row without a readable time weighs in with 0, also a menu without links.
-        linked = _active(menu_recipes).select(F.col("menu_id").alias("id"))
+        linked = _active(menu_recipes).select(F.col("menu_id").alias("id")).distinct()
         empty = (_active(menus).join(linked, "id", "left_anti")
                  .groupBy(F.col("start_date").alias(WEEK)).agg(F.count("*").alias("_empty")))
         number = lambda name: F.coalesce(F.col(name), F.lit(0))
@@ -143,7 +143,7 @@ def with_weekly_change(trends: DataFrame) -> DataFrame:
 def ingredient_trends(ingredients: DataFrame, recipe_ingredients: DataFrame,
                       recipes: DataFrame, menu_recipes: DataFrame, menus: DataFrame,
                       compat: bool = False, items: DataFrame | None = None) -> DataFrame:
-    """Weekly ingredient popularity with rank (ties by :func:`tie_slot`, then id).
+    """Weekly ingredient popularity with rank (ties by id).
 
     ``compat=True`` leaves the change at the constant 0 of the published tables.
     """

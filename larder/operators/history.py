@@ -27,19 +27,22 @@ def pull_calendar(rows: DataFrame, pull: str = PULL) -> DataFrame:
 
 
 def version_history(daily: DataFrame, keys: Sequence[str], attributes: Sequence[str],
-                    pull: str = PULL, close_missing: bool = True) -> DataFrame:
+                    pull: str = PULL, close_missing: bool = True,
+                    pulls: DataFrame | None = None) -> DataFrame:
     """One row per version: attributes, ``valid_from``, ``valid_to`` and ``last_seen_date``.
 
     A version ends at the pull where an attribute differs (nulls compare equal) or, with
     ``close_missing``, at the first pull that lacks the key; a key that comes back starts a
-    new version. ``valid_to`` is exclusive and null while the version is open.
+    new version. ``valid_to`` is exclusive and null while the version is open. ``pulls`` are rows
+    to take the pull dates from, such as those before deduplication, so that ``daily`` is planned
+    once.
     """
     timeline = Window.partitionBy(*keys).orderBy(pull)
     values = F.struct(*attributes) if attributes else F.lit(1)
     starts = F.lag(pull).over(timeline).isNull() | ~values.eqNullSafe(
         F.lag(values).over(timeline))
     if close_missing:
-        daily = daily.join(pull_calendar(daily, pull), pull)
+        daily = daily.join(pull_calendar(daily if pulls is None else pulls, pull), pull)
         starts = starts | (F.lag("_next_pull").over(timeline) != F.col(pull))
     numbered = daily.withColumn("_starts", F.when(starts, 1).otherwise(0)).withColumn(
         "version", F.sum("_starts").over(timeline))
@@ -80,13 +83,16 @@ def closed_lifetimes(history: DataFrame, keys: Sequence[str]) -> DataFrame:
             .orderBy(F.desc("days_active"), *keys, "version"))
 
 
-def attribute_changes(history: DataFrame, keys: Sequence[str], attribute: str) -> DataFrame:
-    """Old and new value wherever one version directly follows another with a new value."""
+def attribute_changes(history: DataFrame, keys: Sequence[str], attribute: str,
+                      nulls: bool = True) -> DataFrame:
+    """Old and new value wherever one version directly follows another with a new value. Without
+    ``nulls``, changes to and from null are left out."""
     order = Window.partitionBy(*keys).orderBy("version")
     following = F.lead(F.struct(FROM, attribute)).over(order)
+    old, new = F.col(attribute), F.col(f"_following.{attribute}")
     return (history.withColumn("_following", following)
             .filter((F.col(f"_following.{FROM}") == F.col(TO))
-                    & (F.col(f"_following.{attribute}") != F.col(attribute)))
+                    & (~new.eqNullSafe(old) if nulls else new != old))
             .select(*keys, F.col(attribute).alias(f"old_{attribute}"),
                     F.col(f"_following.{attribute}").alias(f"new_{attribute}"),
                     F.col(TO).alias("change_date")))

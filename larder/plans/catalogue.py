@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from larder.operators import gold
-from larder.schemas import GOLD
+from larder.schemas import GOLD, SILVER
 from larder.sources.published import PublishedTable
 
 ITEMS = "weekly_items"
@@ -63,19 +63,24 @@ class Catalogue:
     def _with(self, builders: Mapping[str, Callable[[], DataFrame]]) -> Catalogue:
         return Catalogue({**self._builders, **builders}, self.as_of, self.locale, self.compat)
 
+    def _stored(self, name: str, path: str) -> Callable[[], DataFrame]:
+        def build() -> DataFrame:
+            rows = self[name]
+            return PublishedTable(rows.sparkSession, f"{path}/{name}").publish(rows)
+        return build
+
+    def storing_silver(self, path: str) -> Catalogue:
+        """This catalogue with silver tables written below ``path`` when first used, for sources
+        that derive them anew at each reference."""
+        return self._with({name: self._stored(name, path) for name in SILVER})
+
     def storing_gold(self, path: str) -> Catalogue:
         """This catalogue with gold tables written below ``path`` when first used.
 
         They share one stored table of weekly items, so the menu links are joined once.
         """
-        def stored(name: str, source: Catalogue) -> Callable[[], DataFrame]:
-            def build() -> DataFrame:
-                rows = source[name]
-                return PublishedTable(rows.sparkSession, f"{path}/{name}").publish(rows)
-            return build
-
-        staged = self._with({ITEMS: stored(ITEMS, self)})
-        return staged._with({name: stored(name, staged) for name in GOLD})
+        staged = self._with({ITEMS: self._stored(ITEMS, path)})
+        return staged._with({name: staged._stored(name, path) for name in GOLD})
 
     def refresh_gold(self, path: str) -> Catalogue:
         """Recompute and publish all gold tables below ``path``."""

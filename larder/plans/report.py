@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.calendar import as_date
@@ -84,19 +84,32 @@ def trend_chart_series(cat: Catalogue, day: date | str, limit: int = 5) -> DataF
 def popular_ingredients(cat: Catalogue, limit: int = 5) -> DataFrame:
     """Ingredients in most recipes that are on a menu, with the menus they reach.
 
-    A recipe counts if any active menu link has it (semi join). Distinct menus need the
-    product of recipe and menu links, so they are counted for the chosen few only.
+    A recipe counts if any active menu link has it. Menus are counted for the chosen few only:
+    each recipe gets a bit for every chosen ingredient it uses, a menu the bits of its recipes, so
+    a recipe on many menus is never multiplied by its ingredients.
     """
     uses = _active(cat.recipe_ingredients).select("ingredient_id", "recipe_id")
     listed = _active(cat.menu_recipes).select("recipe_id", "menu_id")
-    counts = (uses.join(listed, "recipe_id", "left_semi").groupBy("ingredient_id")
+    # Distinct combines before the shuffle: only the left side of a semi join is split.
+    on_menu = listed.select("recipe_id").distinct()
+    counts = (uses.join(on_menu, "recipe_id", "left_semi").groupBy("ingredient_id")
               .agg(F.count("*").alias("recipe_count")))
     order = (F.desc("recipe_count"), F.asc("ingredient_id"))
     chosen = (cat.ingredients.select("ingredient_id", F.col("name").alias("ingredient_name"))
               .join(counts, "ingredient_id").orderBy(*order).limit(limit))
-    menus = (uses.join(chosen.select("ingredient_id"), "ingredient_id", "left_semi")
-             .join(listed, "recipe_id").select("ingredient_id", "menu_id").distinct()
-             .groupBy("ingredient_id").agg(F.count("*").alias("menu_count")))
+    place = F.row_number().over(Window.orderBy(*order)) - 1  # over the chosen few
+    numbered = chosen.withColumn("_bit", place)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_bit") % 60).cast("int"))
+    masks = (uses.join(numbered.select("ingredient_id", "_bit"), "ingredient_id")
+             .select("recipe_id", F.floor(F.col("_bit") / 60).alias("word"),
+                     bit.alias("bits"))
+             .groupBy("recipe_id", "word").agg(F.bit_or("bits").alias("bits")))
+    per_menu = (listed.join(masks, "recipe_id").groupBy("menu_id", "word")
+                .agg(F.bit_or("bits").alias("bits")))
+    sums = per_menu.groupBy("word", "bits").agg(F.count("*").alias("n"))
+    menus = (numbered.join(sums, F.floor(F.col("_bit") / 60) == F.col("word"))
+             .filter(F.col("bits").bitwiseAND(bit) != 0)
+             .groupBy("ingredient_id").agg(F.sum("n").alias("menu_count")))
     return chosen.join(menus, "ingredient_id").orderBy(*order).select(
         "ingredient_name", "recipe_count", "menu_count")
 
@@ -114,22 +127,25 @@ def report_availability(cat: Catalogue) -> DataFrame:
 
 
 def allergen_heatmap(cat: Catalogue, day: date | str, weeks: list[str] | None = None,
-                     n_weeks: int | None = None, rows: int = 20) -> DataFrame:
+                     n_weeks: int = 4, rows: int | None = None) -> DataFrame:
     """Allergen by week matrix of menu shares, 0 where absent.
 
-    Takes the latest ``n_weeks`` listed weeks, or (default, as published) the latest ``rows``
-    rows. ``weeks`` names the week columns up front and saves the query that finds them.
+    Takes the latest ``n_weeks`` listed weeks, whole, or with ``rows`` the latest so many rows, as
+    published. ``weeks`` names the week columns; a selected week that it lacks is an error.
     """
     density = cat.allergen_density.filter(
         F.col("allergen_name").isNotNull() & (F.col(WEEK) <= as_date(day)))
-    if n_weeks is None:
+    if rows is not None:
         recent = density.orderBy(F.desc(WEEK), "allergen_name", "allergen_id").limit(rows)
     else:
         latest = density.select(WEEK).distinct().orderBy(F.desc(WEEK)).limit(n_weeks)
         recent = density.join(latest, WEEK, "left_semi")
     cells = recent.withColumn("_week", F.date_format(WEEK, "yyyy-MM-dd"))
-    if weeks is None:  # at most n_weeks, or rows, values
-        weeks = sorted(row[0] for row in cells.select("_week").distinct().collect())
+    found = sorted(row[0] for row in cells.select("_week").distinct().collect())  # a few weeks
+    if weeks is None:
+        weeks = found
+    elif set(found) - set(weeks):
+        raise ValueError(f"weeks not listed: {sorted(set(found) - set(weeks))}")
     return (cells.groupBy("allergen_name").pivot("_week", weeks)
             .agg(F.avg("percentage_of_menu")).na.fill(0.0).orderBy("allergen_name"))
 

@@ -6,14 +6,16 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder.operators import merge
 from larder.operators.flatten import ORDER, silver_observations
 from larder.schemas import SILVER, TABLES
-from larder.session import work_dir
+from larder.session import remove, work_dir
 from larder.sources.published import PublishedTable
 
 WRITERS = 4  # tables written at the same time
+DELTAS = 8  # deltas after which a table's state is written whole again
 
 
 def fold_table(name: str, rows: DataFrame) -> DataFrame:
@@ -31,26 +33,46 @@ def fold_bronze(bronze: DataFrame, tables: Iterable[str] = SILVER,
             for name, rows in silver_observations(bronze, tables, stage).items()}
 
 
+def append_state(store: PublishedTable, state: DataFrame, source: str | None = None,
+                 batch: int | None = None) -> None:
+    """Add state rows as a delta, which costs what the batch costs. Every :data:`DELTAS` loads the
+    state is written whole and what that replaces is deleted."""
+    store.publish(state, base=not store.commits(), source=source, batch=batch)
+    if len(store.parts()) > DELTAS:
+        store.publish(merge.combine(*store.parts()))
+        store.expire()
+
+
 class Warehouse:
-    """Silver state tables below one folder."""
+    """Silver state tables below one folder.
+
+    With ``deactivate`` a key that the newest pull of its table lacks is inactive; without it
+    every key stays active, as in the published tables.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, deactivate: bool = False):
+        self.spark, self.path, self.deactivate = spark, path.rstrip("/"), deactivate
 
     def store(self, name: str) -> PublishedTable:
         return PublishedTable(self.spark, f"{self.path}/{name}")
 
-    def _fold(self, bronze: DataFrame, tables: tuple[str, ...]) -> dict[str, DataFrame]:
-        """State rows; with several tables to write, parsed documents are staged as Parquet."""
-        if len(tables) == 1:
-            return fold_bronze(bronze, tables)
+    def state(self, name: str) -> DataFrame:
+        """A table's state rows: its base and deltas combined."""
+        return merge.combine(*self.store(name).parts())
+
+    def _load(self, bronze: DataFrame, tables: tuple[str, ...],
+              write: Callable[[PublishedTable, DataFrame], object]) -> None:
+        """Fold pages and write each table. With several tables, parsed documents are staged as
+        Parquet, and removed when all tables are written."""
         home = work_dir(self.spark, "documents")
 
         def stage(name: str, rows: DataFrame) -> DataFrame:
             rows.write.parquet(f"{home}/{name}")
             return self.spark.read.schema(rows.schema).parquet(f"{home}/{name}")
 
-        return fold_bronze(bronze, tables, stage)
+        states = fold_bronze(bronze, tables, stage if len(tables) > 1 else None)
+        self._each(lambda name: write(self.store(name), states[name]), tables)
+        remove(self.spark, home)
 
     def _each(self, publish: Callable[[str], object], tables: tuple[str, ...]) -> None:
         """Publish tables side by side, so that small ones do not queue behind large ones. If
@@ -60,22 +82,19 @@ class Warehouse:
 
     def rebuild(self, bronze: DataFrame, tables: tuple[str, ...] = SILVER) -> None:
         """Recompute tables from all of bronze."""
-        states = self._fold(bronze, tables)
-        self._each(lambda name: self.store(name).publish(states[name]), tables)
+        self._load(bronze, tables, lambda store, state: (store.publish(state), store.expire()))
 
     def append(self, new_pulls: DataFrame, tables: tuple[str, ...] = SILVER,
-               version: int | None = None) -> None:
-        """Merge new pages. Pages merged before, or pulls older than the table, do no harm."""
-        states = self._fold(new_pulls, tables)
-
-        def merge_one(name: str) -> None:
-            store = self.store(name)
-            current = store.read(before=version)
-            state = states[name]
-            store.publish(merge.combine(current, state) if current else state, version)
-
-        self._each(merge_one, tables)
+               source: str | None = None, batch: int | None = None) -> None:
+        """Merge new pages. Pages merged before, or pulls older than the table, do no harm; with
+        ``source`` and ``batch`` a load that is already committed is not written again."""
+        self._load(new_pulls, tables, lambda store, state: append_state(store, state, source,
+                                                                        batch))
 
     def table(self, name: str, newest_pull: Column | None = None) -> DataFrame:
-        """A silver table; with ``newest_pull`` keys missing from that pull are inactive."""
-        return merge.published(self.store(name).read(), newest_pull)
+        """A silver table; with ``newest_pull`` keys missing from that pull are inactive. A
+        deactivating warehouse takes the newest pull that the table itself has seen."""
+        state = self.state(name)
+        if newest_pull is None and self.deactivate:
+            newest_pull = state.agg(F.max(merge.LAST)).scalar()
+        return merge.published(state, newest_pull)

@@ -100,4 +100,3 @@ MENU_DOC = _struct(id=STRING, url=STRING, year_week=STRING, start=STRING,
 PAGE_META = _struct(last_page=INT)
 MENU_PAGE = _struct(data=T.ArrayType(MENU_DOC), meta=PAGE_META)
 ITEM_PAGE = _struct(data=T.ArrayType(T.MapType(STRING, STRING)))
-ANY_PAGE = _struct(data=T.ArrayType(STRING), meta=PAGE_META)

@@ -38,14 +38,21 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a machine-local folder: on a cluster the executors
-    would each write to their own disk, so an unset folder is an error there.
+    Where it is unset, a local master gets one folder of its own for the session; on a cluster the
+    executors would each write to their own disk, so an unset folder is an error there.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _LOCAL_FOLDERS.setdefault(context.applicationId,
-                                         tempfile.mkdtemp(prefix="larder-"))
+        if context.applicationId not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="larder-")
+        root = _LOCAL_FOLDERS[context.applicationId]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the store that ``path`` is in, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

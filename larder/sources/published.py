@@ -1,7 +1,10 @@
-"""Full-refresh tables: write a new version, then switch to it.
+"""Stored tables with one line of versions.
 
-Readers never see a half-written table, a failed write leaves the old version current, and a
-plan may read the version it replaces.
+A version is a Parquet folder that counts once it stands in the list of commits. A *base* holds a
+whole table, a *delta* holds rows to be combined with the versions before it. Readers never see a
+half-written version, a failed write leaves the old ones current, and a plan may read the version
+it replaces. Whoever writes takes the next number, so full refreshes, appends and streams can follow
+each other in any order.
 """
 
 from __future__ import annotations
@@ -10,6 +13,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.session import remove
+
+COMMIT = "version LONG, base BOOLEAN, source STRING, batch LONG"
+
 
 class PublishedTable:
     """A folder with ``version=<n>`` Parquet folders and a list of committed versions."""
@@ -18,29 +25,55 @@ class PublishedTable:
         self.spark, self.path = spark, path.rstrip("/")
         self._commits = f"{self.path}/commits"
 
-    def current_version(self, before: int | None = None) -> int | None:
-        """Newest committed version (below ``before``, if given)."""
+    def _folder(self, version: int) -> str:
+        return f"{self.path}/version={version}"
+
+    def commits(self) -> list:
+        """What is committed, oldest first: one small row for each load."""
         try:
-            commits = self.spark.read.schema("version LONG").parquet(self._commits)
-        except AnalysisException:
-            return None  # nothing committed yet
-        if before is not None:
-            commits = commits.filter(F.col("version") < before)
-        return commits.agg(F.max("version")).first()[0]
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        version = self.current_version(before)
-        if version is None:
-            return None
-        return self.spark.read.parquet(f"{self.path}/version={version}")
-
-    def publish(self, rows: DataFrame, version: int | None = None) -> DataFrame:
-        """Write ``rows`` as a version and commit it. Repeating a version replaces it."""
-        if version is None:
-            current = self.current_version()
-            version = 0 if current is None else current + 1
-        target = f"{self.path}/version={version}"
-        rows.write.mode("overwrite").parquet(target)
-        (self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
+            rows = self.spark.read.schema(COMMIT).parquet(self._commits)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []  # nothing committed yet
+        return sorted(rows.distinct().collect())
+
+    def current_version(self) -> int | None:
+        """Newest committed version."""
+        return max((c.version for c in self.commits()), default=None)
+
+    def parts(self) -> list[DataFrame]:
+        """The newest base and the deltas after it."""
+        commits = self.commits()
+        start = max((c.version for c in commits if c.base), default=-1)
+        return [self.spark.read.parquet(self._folder(c.version)) for c in commits
+                if c.version >= start]
+
+    def read(self) -> DataFrame | None:
+        """A table that is only ever published whole."""
+        parts = self.parts()
+        return parts[0] if parts else None
+
+    def publish(self, rows: DataFrame, base: bool = True, source: str | None = None,
+                batch: int | None = None) -> DataFrame:
+        """Write ``rows`` as the next version and commit it. A batch of a source that is already
+        committed is not written again; one that was lost before its commit is written anew."""
+        commits = self.commits()
+        for c in commits:
+            if source is not None and (c.source, c.batch) == (source, batch):
+                return self.spark.read.parquet(self._folder(c.version))
+        version = 1 + max((c.version for c in commits), default=-1)
+        rows.write.mode("overwrite").parquet(self._folder(version))
+        (self.spark.createDataFrame([(version, base, source, batch)], COMMIT)
          .coalesce(1).write.mode("append").parquet(self._commits))
-        return self.spark.read.parquet(target)
+        return self.spark.read.parquet(self._folder(version))
+
+    def expire(self) -> None:
+        """Delete the versions that the last base but one has replaced; a plan made before the
+        newest base can still be read."""
+        commits = self.commits()
+        bases = [c.version for c in commits if c.base]
+        if len(bases) > 1:
+            for c in commits:
+                if c.version < bases[-2]:
+                    remove(self.spark, self._folder(c.version))

@@ -1,9 +1,9 @@
 """The incremental load as a Structured Streaming job.
 
-Each micro-batch of landed pages is folded and merged into the silver state. A version is
-named after its batch id and always built from an older version, so a batch replayed after a
-lost driver rewrites its own version and nothing else; because the merge is idempotent and
-order-free, no watermark is needed and backfilled pulls land correctly.
+Each micro-batch of landed pages is folded and appended to the silver state as a delta. A commit
+names the stream's checkpoint and the batch, so a batch replayed after a lost driver is written
+once, on whatever the warehouse holds by then; because the merge is idempotent and order-free, no
+watermark is needed and backfilled pulls land correctly.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.operators.merge import combine
-from larder.plans.silver import Warehouse
+from larder.plans.silver import Warehouse, append_state
 from larder.schemas import BRONZE, SILVER
 from larder.sources.published import PublishedTable
 
@@ -34,15 +33,12 @@ def merge_stream(stream: DataFrame, fold: Callable[[DataFrame], DataFrame],
                  table: PublishedTable, checkpoint: str) -> None:
     """Merge everything available into one state table, then stop."""
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        state, current = fold(batch), table.read(before=batch_id)
-        table.publish(combine(current, state) if current else state, version=batch_id)
-
-    _drain(stream, each, checkpoint)
+    _drain(stream, lambda batch, batch_id: append_state(table, fold(batch), checkpoint, batch_id),
+           checkpoint)
 
 
 def silver_stream(stream: DataFrame, warehouse: Warehouse, checkpoint: str,
                   tables: tuple[str, ...] = SILVER) -> None:
     """Merge everything available into the silver tables, then stop."""
-    _drain(stream, lambda batch, batch_id: warehouse.append(batch, tables, batch_id),
+    _drain(stream, lambda batch, batch_id: warehouse.append(batch, tables, checkpoint, batch_id),
            checkpoint)

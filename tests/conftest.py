@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -15,6 +16,7 @@ def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g", spark__ui__enabled="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="larder-"),
         # Tiny inputs: compiling a stage costs far more than running it.
         spark__sql__codegen__wholeStage="false",
         spark__python__sql__dataFrameDebugging__enabled="false",

@@ -6,7 +6,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from larder.operators.merge import published
 from larder.plans.silver import Warehouse
 from larder.session import work_dir
 from larder.sources import landing
@@ -60,9 +59,22 @@ def test_versions_switch_and_repeat(spark):
     store.publish(spark.range(1))
     store.publish(store.read().union(spark.range(5, 7)))  # reads what it replaces
     assert table(store.read()) == [(0,), (5,), (6,)]
-    assert table(store.read(before=1)) == [(0,)]
-    store.publish(spark.range(9, 10), version=1)
+    store.publish(spark.range(9, 10), source="s", batch=0)
+    store.publish(spark.range(3), source="s", batch=0)  # committed before: not written again
     assert table(store.read()) == [(9,)]
+    assert [c.version for c in store.commits()] == [0, 1, 2]
+    store.expire()
+    assert table(spark.read.parquet(f"{store.path}/version=1")) == [(0,), (5,), (6,)]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{store.path}/version=0")
+
+
+def test_only_a_missing_commit_list_means_nothing_is_stored(spark):
+    store = PublishedTable(spark, work_dir(spark, "table"))
+    assert store.read() is None
+    spark.createDataFrame([("x",)], "version string").write.parquet(f"{store.path}/commits")
+    with pytest.raises(Exception):
+        store.read()
 
 
 def test_failed_publish_leaves_the_old_version(spark):
@@ -108,8 +120,54 @@ def test_stream_equals_rebuild_and_is_safe_to_rerun(spark):
 
 def test_replayed_batch_changes_nothing(spark):
     house = Warehouse(spark, work_dir(spark, "replay"))
-    house.append(pages(spark, WEEKS[0]), TABLES, version=0)
-    house.append(pages(spark, WEEKS[1]), TABLES, version=1)
-    before = table(published(house.store("recipes").read()))
-    house.append(pages(spark, WEEKS[1]), TABLES, version=1)
-    assert table(published(house.store("recipes").read())) == before
+    house.append(pages(spark, WEEKS[0]), TABLES, "stream", 0)
+    house.append(pages(spark, WEEKS[1]), TABLES, "stream", 1)
+    before = table(house.table("recipes"))
+    house.append(pages(spark, WEEKS[1]), TABLES, "stream", 1)
+    assert table(house.table("recipes")) == before
+    assert house.store("recipes").current_version() == 1
+
+
+def test_rebuild_append_and_stream_share_one_line(spark, monkeypatch):
+    """Whatever comes before, nothing is lost: all ways give what a rebuild of everything gives."""
+    home = work_dir(spark, "line")
+    whole = Warehouse(spark, f"{home}/whole", deactivate=True)
+    whole.rebuild(pages(spark, *WEEKS), TABLES)
+
+    def streamed(house, name, *weeks):
+        for week in weeks:
+            landing.append_bronze(pages(spark, week), f"{home}/{name}")
+        incremental.silver_stream(incremental.bronze_stream(spark, f"{home}/{name}"), house,
+                                  f"{home}/{name}-checkpoint", TABLES)
+
+    rebuilt = Warehouse(spark, f"{home}/a", deactivate=True)
+    rebuilt.rebuild(pages(spark, WEEKS[0]), TABLES)
+    streamed(rebuilt, "a-bronze", WEEKS[1], WEEKS[2])
+
+    mixed = Warehouse(spark, f"{home}/b", deactivate=True)
+    for _ in range(2):
+        mixed.append(pages(spark, WEEKS[2]), TABLES)
+    streamed(mixed, "b-bronze", WEEKS[0])
+    mixed.append(pages(spark, WEEKS[2]), TABLES)
+    streamed(mixed, "b-bronze", WEEKS[1])
+
+    monkeypatch.setattr("larder.plans.silver.DELTAS", 2)
+    compacted = Warehouse(spark, f"{home}/c", deactivate=True)
+    for week in WEEKS * 2:
+        compacted.append(pages(spark, week), TABLES)
+    for name in TABLES:
+        want = table(whole.table(name))
+        for house in (rebuilt, mixed, compacted):
+            assert table(house.table(name)) == want, (house.path, name)
+    store = compacted.store("recipes")
+    assert len(store.parts()) <= 2 and sum(c.base for c in store.commits()) > 1
+    assert table(whole.table("recipes"), "id", "is_active") == [("1", 0), ("2", 1), ("3", 1)]
+
+
+def test_an_append_writes_its_batch_only(spark):
+    house = Warehouse(spark, work_dir(spark, "delta"))
+    house.append(pages(spark, *WEEKS), ("recipes",))
+    house.append(pages(spark, ("2026-02-05", "menus", menu("2026-02-05", 9))), ("recipes",))
+    parts = house.store("recipes").parts()
+    assert [p.count() for p in parts] == [3, 1]
+    assert len(table(house.table("recipes"))) == 4

@@ -153,6 +153,9 @@ def test_report_tables(cat):
     assert report.allergen_heatmap(cat, "2026-02-07", n_weeks=1).columns == [
         "allergen_name", "2026-02-07"]
     assert table(report.survival_histogram(cat)) == [(0, 6, 1), (1, 7, 3)]
+    assert table(report.allergen_heatmap(cat, "2026-02-07", rows=1)) == [("Nuts", 100.0)]
+    with pytest.raises(ValueError, match="2026-01-24"):
+        report.allergen_heatmap(cat, "2026-02-07", ["2026-02-07"])
 
 
 def test_empty_week_and_latest_week_without_metrics(spark, cat):

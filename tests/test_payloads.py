@@ -41,6 +41,20 @@ def test_page_audit_counts_the_stored_empty_page(spark):
                                                ("tags", 1, 1, 1, True)]
 
 
+def test_page_audit_sees_holes_and_counts_every_shape(spark):
+    rows = pages(spark, ("2026-02-03", "menus", menu_page({"id": 1}, last_page=3)),
+                 ("2026-02-03", "menus", menu_page({"id": 2}, last_page=3), 3),
+                 ("2026-02-03", "menus", menu_page({"id": 2}, last_page=3), 3),
+                 ("2026-02-03", "recipes", '{"data": {"id": 1}}'),
+                 ("2026-02-03", "recipes", ' [{"id": 2}, {"id": 3}]', 2),
+                 ("2026-02-03", "recipes", '{"id": 4}', 3),
+                 ("2026-02-03", "tags", "{damaged"), ("2026-02-03", "labels", None))
+    assert table(bronze.page_audit(rows), "endpoint", "pages_stored", "pages_announced",
+                 "max_page", "records", "is_complete") == [
+        ("labels", 1, 1, 1, 0, True), ("menus", 2, 3, 3, 3, False), ("recipes", 1, 1, 3, 4, True),
+        ("tags", 1, 1, 1, 0, True)]
+
+
 def test_window_keeps_unreadable_starts(spark):
     rows = spark.createDataFrame([("2026-02-07",), ("2026-03-07",), (None,), ("2026/01/15",)],
                                  "start string")

@@ -48,6 +48,23 @@ def test_no_products_and_no_python(spark, sf_dir, skew_settings, name):
         assert unwanted not in plan
 
 
+@pytest.mark.parametrize("name", [
+    "recipes_without_links", "weekly_menu_metrics_compat", "popular_ingredients",
+    "q02_used_ingredients"])
+def test_right_sides_of_semi_and_anti_joins_are_distinct(spark, sf_dir, skew_settings, name):
+    """Adaptive execution splits only the left side, so a hot key on the right must be one row."""
+    plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    lines, found = plan.splitlines(), 0
+    for at, line in enumerate(lines):
+        if "Join LeftAnti" in line or "Join LeftSemi" in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = [i for i in range(at + 1, len(lines))
+                     if len(lines[i]) - len(lines[i].lstrip(" :+-")) == depth + 3]
+            assert "Aggregate" in lines[below[1]], lines[below[1]]
+            found += 1
+    assert found
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     rows = StarMenus(spark, sf_dir).menus.filter(F.col("id") == 7).select("id", "is_active")
     plan = plan_of(rows)
