@@ -22,23 +22,38 @@ from __future__ import annotations
 import codecs
 import functools
 import json
+import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: the pattern that the vocabulary's library splits texts with.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: From here on Unicode versions disagree on what is a letter, so the library itself splits.
-DISPUTED = regex.compile("[՘-\U0010ffff]")
+LIMIT = 0x558
+DISPUTED = re.compile("[\u0558-\U0010ffff]")
 #: Cached pieces in a Python worker, and characters of a text split at a time.
 CACHE, SEGMENT = 400_000, 1 << 18
 
 
+def plain_split() -> re.Pattern:
+    """:data:`SPLIT` for texts without disputed letters, with its classes written out."""
+    kinds = {"L": "", "N": ""}
+    for code in range(LIMIT):
+        kind = unicodedata.category(chr(code))[0]
+        if kind in kinds:
+            kinds[kind] += re.escape(chr(code))
+    space = r"\t-\r \x85\xa0"
+    return re.compile(SPLIT.replace(r"[^\s\p{L}\p{N}]", f"[^{space}{kinds['L']}{kinds['N']}]")
+                      .replace(r"\p{L}", f"[{kinds['L']}]").replace(r"\p{N}", f"[{kinds['N']}]")
+                      .replace(r"\s", f"[{space}]").replace(r"\S", f"[^{space}]"))
+
+
 def byte_letters() -> dict[str, int]:
     """The letter by which the vocabulary file shows each byte: printable Latin-1 letters stand
     for themselves, the others follow from U+0100 on."""
@@ -67,7 +82,14 @@ class Merges:
             self.rank[whole], self.parts[whole] = rank, (vocab[a], vocab[b])
             self.joined[vocab[a], vocab[b]] = rank
         self.longest = max(map(len, vocab))
+        # Lengths of the tokens that end in each three bytes, longest first, down to 1.
+        tails: dict[bytes, set[int]] = {}
+        for token in vocab:
+            if len(token) > 2:
+                tails.setdefault(token[-3:], {1, 2}).add(len(token))
+        self.lengths = {tail: sorted(found, reverse=True) for tail, found in tails.items()}
         self.lookahead = self._lookahead()
+        self.fits = _Fits(self)
 
     def _lookahead(self) -> int:
         """Bytes after which no merge can change a border any more. A merge is prevented only by
@@ -85,11 +107,9 @@ class Merges:
             best[left] = max(best.get(left, 0), reach + len(self.bytes_of[right]))
         return max(best.values(), default=0) + self.longest
 
-    def fits(self, left: int | None, right: int) -> bool:
+    def _fits(self, left: int, right: int) -> bool:
         """Whether the merge list leaves the border between two tokens alone. Both tokens are
         taken apart, the one made last first; no merge across may come before that one."""
-        if left is None:
-            return True
         limit = len(self.rank)
         rank, parts, joined = self.rank, self.parts, self.joined
         while True:
@@ -104,6 +124,19 @@ class Merges:
                 limit, right = b + 1, parts[right][0]
 
 
+class _Fits(dict):
+    """:meth:`Merges._fits` by (left << 32 | right), for the pairs met so far."""
+
+    def __init__(self, merges: Merges):
+        self.merges = merges
+
+    def __missing__(self, pair: int) -> bool:
+        if len(self) >= CACHE:
+            self.clear()
+        self[pair] = found = self.merges._fits(pair >> 32, pair & 0xFFFFFFFF)
+        return found
+
+
 class Encoder:
     """Feed bytes of one pre-token with :meth:`push`; each call returns the tokens now stable."""
 
@@ -130,14 +163,18 @@ class Encoder:
     def _extend(self, data: bytes) -> None:
         first = len(self.window)
         self.window += data
-        ids, fits, longest, window = (self.merges.ids, self.merges.fits, self.merges.longest,
+        ids, fits, lengths, window = (self.merges.ids, self.merges.fits, self.merges.lengths,
                                       self.window)
         start, token = self.start, self.token
+        token[0] = self.before
         for end in range(first + 1, len(window) + 1):
-            for begin in range(max(0, end - longest), end):
+            for length in lengths.get(window[max(0, end - 3):end], (2, 1)):
+                begin = end - length
+                if begin < 0:
+                    continue
                 found = ids.get(window[begin:end])
-                if found is not None and (begin == 0 or token[begin] is not None) and fits(
-                        token[begin] if begin else self.before, found):
+                if found is not None and (
+                        token[begin] is None or fits[token[begin] << 32 | found]):
                     start.append(begin)
                     token.append(found)
                     break
@@ -184,17 +221,25 @@ class Decoder:
 
 
 class _Cache(dict):
-    """Token ids by pre-token. Frequent ones are encoded once; long ones are not kept."""
+    """Token ids by pre-token. A pre-token is kept for good when it comes a second time while it is
+    still among the last new ones, so the many that occur once do not crowd out the others."""
 
     def __init__(self, merges: Merges):
         self.encoder = Encoder(merges)
+        self.new: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = (*self.encoder.push(piece.encode()), *self.encoder.finish())
-        if len(piece) <= 64:
+        ids = self.new.pop(piece, None)
+        if ids is not None:
             if len(self) >= CACHE:
                 self.clear()
             self[piece] = ids
+            return ids
+        ids = (*self.encoder.push(piece.encode()), *self.encoder.finish())
+        if len(piece) <= 64:
+            if len(self.new) >= CACHE // 2:
+                self.new.clear()
+            self.new[piece] = ids
         return ids
 
 
@@ -202,9 +247,9 @@ class Tokenizer:
     def __init__(self, path: str):
         self.merges = Merges(path)
         self.cache = _Cache(self.merges)
-        self.split = regex.compile(SPLIT)
-        self.special = regex.compile("|".join(
-            regex.escape(s) for s in sorted(self.merges.special, key=len, reverse=True)) or "(?!)")
+        self.split = plain_split()
+        self.special = re.compile("|".join(
+            re.escape(s) for s in sorted(self.merges.special, key=len, reverse=True)) or "(?!)")
 
     def _pieces(self, text: str) -> Iterator[list[str]]:
         """Pre-tokens, a segment at a time; a segment ends where white space follows a letter or
@@ -241,7 +286,7 @@ class Tokenizer:
 
 
 #: The end of a non-space that white space follows.
-SAFE = regex.compile(r"\S(?=\s)")
+SAFE = re.compile(r"[^\t-\r \x85\xa0](?=[\t-\r \x85\xa0])")
 
 
 @functools.lru_cache(maxsize=2)
