@@ -35,12 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import partitions, stored, text_of
+from larder.llm.common import partitions, slices, stored, text_of
 from larder.llm.word_arrays import BASE, INVERSE, Words, mixed, portions, powers, runs
 
 LENGTH, PREFIX, GROUP = 20, 6, 2_000
 #: Bytes of text after which a task hands on what it has combined, and leaves in a subtree batch.
-COMBINED, LEAVES = 32 << 20, 100_000
+COMBINED, LEAVES = 16 << 20, 40_000
 
 ANCHOR = "local boolean, h bigint, c bigint, doc bigint, tag bigint, at int, lo int, hi int"
 RESOLVED = "many int, h bigint, doc bigint, tag bigint, at int, lo int, hi int"
@@ -81,7 +81,7 @@ def anchors_of(words: Words, first: int, last: int, length: int, prefix: int) ->
 def find_anchors(length: int, prefix: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             doc, tag = (batch[c].to_numpy(zero_copy_only=False) for c in ("doc", "tag"))
             for start, words in portions(batch["text"]):
                 parts, owner = [], []
@@ -138,7 +138,7 @@ def resolve(group: int):
     """Rows sorted by (local, h, c, doc, tag, at). Repeats of a leaf get ``many`` 0; the first of
     each leaf gets the number of its prefix's leaves, and is left out if that is 1."""
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, part in by_key(batches, ["local", "h"], 200_000, ["c"]):
+        for table, part in by_key(batches, ["local", "h"], 100_000, ["c"]):
             local, h, c, doc, tag, at, lo, hi = (
                 table[n].to_numpy(zero_copy_only=False) for n in
                 ("local", "h", "c", "doc", "tag", "at", "lo", "hi"))
@@ -212,7 +212,7 @@ def fetch(length: int, group: int):
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in slices(batches, 50):  # a text may have thousands of windows
             cols = {n: [] for n in ("h", "window", "doc", "tag", "at", "lo", "hi", "words")}
             for doc, tag, text, leaves in zip(*(batch[c] for c in ("doc", "tag", "text", "leaves"))):
                 words = (text.as_py() or "").encode().split()
@@ -333,7 +333,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX
 def cut(length: int):
     """Texts with their spans: the words that no repeated window covers."""
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             totals, removed, words_left, texts_left = [], [], [], []
             for text, spans in zip(batch["text"], batch["spans"]):
                 words = (text.as_py() or "").encode().split()

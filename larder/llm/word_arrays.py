@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are worked on at a time (arrays take about 60 bytes for each).
-PORTION = 2 << 20
+PORTION = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BASE = np.uint64(0x9E3779B97F4A7C15)
