@@ -286,7 +286,7 @@ SILVER_RECIPES = f"""
 def rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     house = Warehouse(spark, work_dir(spark, "rebuild"))
     house.rebuild(bronze_pages(spark, sf_dir), ("recipes",))
-    return house.table("recipes")
+    return house.table("recipes").drop("_ingestion_ts")
 
 
 def appended(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +295,7 @@ def appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     everything = bronze_pages(spark, sf_dir)
     for period in (F.col("pull_date") >= "1998-07-01", F.col("pull_date") < "1998-07-01"):
         house.append(everything.filter(period), ("recipes",))
-    return house.table("recipes")
+    return house.table("recipes").drop("_ingestion_ts")
 
 
 def rebuilt_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,6 +324,74 @@ register(
        UNION ALL SELECT 'labels', count(DISTINCT p_size) FROM part""")
 
 
+@per_session
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """All silver tables: the middle pulls rebuilt, the newest appended, the oldest streamed."""
+    home = work_dir(spark, "warehouse")
+    house = Warehouse(spark, f"{home}/silver", deactivate=True)
+    pages = bronze_pages(spark, sf_dir).withColumn(
+        "ingestion_timestamp", F.col("pull_date").cast("timestamp_ntz"))
+    day = F.col("pull_date")
+    house.rebuild(pages.filter(day.between("1996-01-01", "1998-06-30")))
+    house.append(pages.filter(day > "1998-06-30"))
+    pages.filter(day < "1996-01-01").write.partitionBy("pull_date", "endpoint").parquet(
+        f"{home}/landed")
+    incremental.silver_stream(incremental.bronze_stream(spark, f"{home}/landed"), house,
+                              f"{home}/checkpoint")
+    return house
+
+
+def seen_between(select: str) -> str:
+    """Rows with a pull date as a table that deactivates."""
+    return f"""SELECT * EXCLUDE (pull_date), min(pull_date) AS first_seen_date,
+                      max(pull_date) AS last_seen_date,
+                      (max(pull_date) = max(max(pull_date)) OVER ())::INTEGER AS is_active,
+                      max(pull_date)::TIMESTAMP AS _ingestion_ts
+               FROM ({select}) GROUP BY ALL"""
+
+
+LISTED_PARTS = "SELECT l_orderkey, l_partkey, month AS pull_date FROM order_lines"
+WAREHOUSE_SQL = {
+    "menus": """SELECT l_orderkey::VARCHAR AS id, 'menu/' || l_orderkey AS url,
+                       strftime(o_orderdate, '%Y%m') AS year_week, month AS start_date,
+                       month AS pull_date
+                FROM order_lines JOIN orders ON o_orderkey = l_orderkey""",
+    "recipes": f"""SELECT {RECIPE_COLUMNS}, NULL::VARCHAR AS description,
+                          NULL::VARCHAR AS total_time, pull_date
+                   FROM ({LISTED_PARTS} UNION ALL
+                         SELECT 0, l_partkey, pull_date FROM ({DETAIL_PAGES}))
+                   JOIN part ON p_partkey = l_partkey
+                   WHERE l_orderkey = 0 OR p_size <> 50""",
+    "recipe_ingredients": f"""SELECT l_partkey::VARCHAR AS recipe_id,
+                                     l_suppkey::VARCHAR AS ingredient_id, pull_date
+                              FROM (SELECT l_partkey, l_suppkey, month AS pull_date
+                                    FROM order_lines JOIN part ON p_partkey = l_partkey
+                                    WHERE p_size <> 50
+                                    UNION ALL
+                                    SELECT d.l_partkey, l_suppkey, pull_date
+                                    FROM ({DETAIL_PAGES}) d JOIN order_lines o
+                                    ON o.l_partkey = d.l_partkey AND l_suppkey // 50 = sb)
+                              WHERE l_suppkey % 29 <> 0""",
+    "menu_recipes": f"""SELECT l_orderkey::VARCHAR AS menu_id, l_partkey::VARCHAR AS recipe_id,
+                               pull_date
+                        FROM ({LISTED_PARTS}) JOIN part ON p_partkey = l_partkey
+                        WHERE p_size <> 50""",
+    **{f"recipe_{kind}": f"""SELECT l_partkey::VARCHAR AS recipe_id, {value} AS {kind[:-1]}_id,
+                                    pull_date
+                             FROM ({DETAIL_PAGES}) JOIN part ON p_partkey = l_partkey"""
+       for kind, value in (("allergens", "p_brand"), ("tags", "p_type"),
+                           ("labels", "'size-' || p_size"))},
+    **{name: f"SELECT * EXCLUDE (present), DATE '1995-01-01' AS pull_date FROM ({sql})"
+       for name, sql in REFERENCE_SQL.items()},
+}
+# Of links listed on several pages of a pull, the other checks hold position, quantity and unit.
+for name, sql in WAREHOUSE_SQL.items():
+    register(f"warehouse_{name}",
+             lambda spark, sf, n=name: warehouse(spark, sf).table(n).drop(
+                 "position", "quantity", "unit"),
+             seen_between(sql))
+
+
 def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish all gold tables and count what readers now see."""
     return quality.gold_row_counts(

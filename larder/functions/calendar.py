@@ -44,11 +44,14 @@ def iso_week_monday(year: Column, week: Column) -> Column:
 def week_window(selector: Column) -> Column:
     """``struct<start, end>`` (Monday, Sunday) of ``YYYY-Www`` or ``YYYY-MM-DD`` text.
 
-    Unreadable text gives null bounds.
+    Null gives null bounds, unreadable text is an error: a filter on such bounds would silently
+    select nothing.
     """
     year, week = (F.regexp_extract(selector, ISO_WEEK_TEXT, group).try_cast("int")
                   for group in (1, 2))
     monday = F.coalesce(iso_week_monday(year, week), week_start(iso_date(selector)))
+    monday = F.when(monday.isNotNull() | selector.isNull(), monday).otherwise(
+        F.raise_error(F.concat(F.lit("not a week or date: "), selector)).cast("date"))
     return F.struct(monday.alias("start"), F.date_add(monday, 6).alias("end"))
 
 

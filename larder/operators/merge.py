@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 PULL = "pull_date"
 FIRST, LAST, ACTIVE = "first_seen_date", "last_seen_date", "is_active"
+INGESTED = "_ingestion_ts"
 _VERSION = "_written_"
 
 
@@ -42,8 +43,9 @@ def dedupe_batch(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def fold(rows: DataFrame, keys: Sequence[str], attributes: Sequence[str],
-         order: Sequence[str], pull: str = PULL, present: str | None = None) -> DataFrame:
-    """Observations to state rows.
+         order: Sequence[str], pull: str = PULL, present: str | None = None,
+         stamp: str | None = None) -> DataFrame:
+    """Observations to state rows. ``stamp`` names the ingestion time, of which the latest is kept.
 
     ``order`` ranks writes within a pull (newer pulls always win). ``present`` names an
     ``array<string>`` column listing the attributes a row really carries; an attribute that
@@ -63,20 +65,22 @@ def fold(rows: DataFrame, keys: Sequence[str], attributes: Sequence[str],
     else:
         versions = []
     return rows.filter(has_key(*(F.col(key) for key in keys))).groupBy(*keys).agg(
-        F.min(pull).alias(FIRST), F.max(pull).alias(LAST), *versions)
+        F.min(pull).alias(FIRST), F.max(pull).alias(LAST),
+        *([F.max(stamp).alias(INGESTED)] if stamp else []), *versions)
 
 
 def combine(*states: DataFrame) -> DataFrame:
     """Merge state rows of the same table: one shuffle on the key, no join."""
     first = states[0]
     versions = [name for name in first.columns if name.startswith(_VERSION)]
-    keys = [name for name in first.columns if name not in {FIRST, LAST, *versions}]
+    stamps = [name for name in first.columns if name == INGESTED]
+    keys = [name for name in first.columns if name not in {FIRST, LAST, *stamps, *versions}]
     everything = first
     for other in states[1:]:
         everything = everything.unionByName(other)
     return everything.groupBy(*keys).agg(
         F.min(FIRST).alias(FIRST), F.max(LAST).alias(LAST),
-        *(F.max(name).alias(name) for name in versions))
+        *(F.max(name).alias(name) for name in (*stamps, *versions)))
 
 
 def published(state: DataFrame, newest_pull: Column | None = None) -> DataFrame:
@@ -92,10 +96,11 @@ def published(state: DataFrame, newest_pull: Column | None = None) -> DataFrame:
         elif name.startswith(_VERSION):
             values.append(F.col(f"{name}.value").alias(name.removeprefix(_VERSION)))
     keys = [name for name in state.columns
-            if name not in {FIRST, LAST} and not name.startswith(_VERSION)]
+            if name not in {FIRST, LAST, INGESTED} and not name.startswith(_VERSION)]
+    stamps = [name for name in state.columns if name == INGESTED]
     active = F.lit(1) if newest_pull is None else F.when(
         F.col(LAST) == newest_pull, 1).otherwise(0)
-    return state.select(*keys, *values, FIRST, LAST, active.alias(ACTIVE))
+    return state.select(*keys, *values, FIRST, LAST, active.alias(ACTIVE), *stamps)
 
 
 def newest_pull(rows: DataFrame, pull: str = PULL) -> Column:

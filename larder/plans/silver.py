@@ -22,7 +22,8 @@ def fold_table(name: str, rows: DataFrame) -> DataFrame:
     """Observations of a silver table as state rows."""
     table = TABLES[name]
     present = "present" if "present" in rows.columns else None
-    return merge.fold(rows, table.keys, table.attribute_names, ORDER, present=present)
+    return merge.fold(rows, table.keys, table.attribute_names, ORDER, present=present,
+                      stamp="ingestion_timestamp")
 
 
 def fold_bronze(bronze: DataFrame, tables: Iterable[str] = SILVER,

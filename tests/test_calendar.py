@@ -30,8 +30,13 @@ def test_week_selectors(spark):
 
 @pytest.mark.parametrize("text", ["2026W05", "2026/01/15", "2026-13-01", "2026-02-30",
                                   "20260115"])
-def test_unreadable_selectors_are_null(spark, text):
-    assert windows(spark, [text]) == {text: (None, None)}
+def test_unreadable_selectors_fail(spark, text):
+    with pytest.raises(Exception, match="not a week or date"):
+        windows(spark, [text])
+
+
+def test_a_missing_selector_has_no_bounds(spark):
+    assert windows(spark, [None]) == {None: (None, None)}
 
 
 def test_every_day_of_a_week_gives_the_same_bounds(spark):
