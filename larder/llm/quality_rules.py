@@ -160,9 +160,12 @@ def ablation(rows: DataFrame, policy: Policy = CURRENT) -> DataFrame:
 def kept_rows(docs: DataFrame, policy: Policy = CURRENT, doc_id: str = "doc_id",
               text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the policy keeps, with all their columns. The row travels along
-    as one struct, so nothing is joined back and no column name can clash."""
+    as one struct, so nothing is joined back and no column name can clash. The verdict is taken
+    together with a row number: else the optimizer would move the filter, and all that is measured
+    with it, below the steps that measure once."""
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     verdict = judged(ledger(whole.select(F.struct("doc_id", "row").alias("doc_id"), "text"),
                             "doc_id", "text"), policy)
-    return verdict.where("kept").select("doc_id.row.*")
+    numbered = verdict.select("doc_id", "kept", F.monotonically_increasing_id().alias("place"))
+    return numbered.where("kept AND place >= 0").select("doc_id.row.*")
