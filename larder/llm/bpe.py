@@ -25,20 +25,23 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import slices
+
 #: Fixed value: the pattern that the vocabulary's library splits texts with.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: From here on Unicode versions disagree on what is a letter, so the library itself splits.
 LIMIT = 0x558
 DISPUTED = re.compile("[\u0558-\U0010ffff]")
-#: Cached pieces in a Python worker, and characters of a text split at a time.
-CACHE, SEGMENT = 400_000, 1 << 18
+#: Cached pieces in a Python worker while a task runs, those it keeps for the next task, pairs of
+#: tokens remembered, and characters of a text split at a time.
+CACHE, KEPT, PAIRS, SEGMENT = 250_000, 120_000, 150_000, 1 << 18
 
 
 def plain_split() -> re.Pattern:
@@ -131,7 +134,7 @@ class _Fits(dict):
         self.merges = merges
 
     def __missing__(self, pair: int) -> bool:
-        if len(self) >= CACHE:
+        if len(self) >= PAIRS:
             self.clear()
         self[pair] = found = self.merges._fits(pair >> 32, pair & 0xFFFFFFFF)
         return found
@@ -242,6 +245,15 @@ class _Cache(dict):
             self.new[piece] = ids
         return ids
 
+    def trim(self) -> None:
+        """Keep the pre-tokens that came again first, which are the frequent ones: workers wait for
+        their next task beside those of other stages."""
+        self.new.clear()
+        if len(self) > KEPT:
+            first = list(islice(self.items(), KEPT))
+            self.clear()
+            self.update(first)
+
 
 class Tokenizer:
     def __init__(self, path: str):
@@ -301,7 +313,7 @@ def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches):
             values = [np.fromiter(chain.from_iterable(own.encode(t.as_py() or "")), np.int32)
                       for t in batch["text"]]
             ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
@@ -309,6 +321,7 @@ def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 names=["doc_id", "ids"])
+        own.cache.trim()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(encode, f"doc_id {kind}, ids array<int>")
@@ -319,7 +332,7 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch["ids"]
             flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
             texts = [own.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]

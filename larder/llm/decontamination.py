@@ -29,6 +29,8 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import slices
+
 NOISE = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 MATCH = "array<struct<item_id:bigint,coverage:double,n_tiles:int,n_tokens:int>>"
@@ -218,7 +220,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, least: int = 4, threshold: fl
 def _judge(shared: Broadcast, least: int, threshold: float):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             before = batch["matches"]
             found = [[*was.as_py(), *compared(tokens(t.as_py()), index, least, threshold)]
                      for was, t in zip(before, batch["text"])]

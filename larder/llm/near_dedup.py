@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stored, text_of
+from larder.llm.common import slices, stored, text_of
 from larder.llm.word_arrays import mixed, portions, runs
 
 K, PICKS, BANDS, SIMILARITY, ROUNDS = 5, 3, 20, 0.8, 3
@@ -85,7 +85,7 @@ def text_runs(codes: np.ndarray, k: int) -> np.ndarray:
 
 def sketch(k: int, bands: int, picks: int):
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keys = []
             for _, words in portions(batch["text"]):
                 for a, b in zip(words.first[:-1], words.first[1:]):
@@ -104,7 +104,7 @@ def sketch(k: int, bands: int, picks: int):
 
 def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as 32-bit word codes, which is what an alignment of ``k``-word runs needs."""
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for _, words in portions(batch["text"]):
             short = (words.codes >> np.uint64(32)).astype(np.uint32)
@@ -158,7 +158,7 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> float:
 
 def verify(k: int, least: float):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = []
             for x, y in zip(batch["codes"], batch["hub_codes"]):
                 a, b = (text_runs(np.frombuffer(v.as_buffer(), np.uint32).astype(np.uint64), k)

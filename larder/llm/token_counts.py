@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import stored
+from larder.llm.common import slices, stored
 
 PIECES = regex.compile("[ ▁]+[^ ▁]*")
 #: Distinct pre-tokens that a task holds before it hands their counts on.
@@ -105,7 +105,7 @@ def counted(docs: DataFrame, path: str, head: int = 200_000, doc_id: str = "doc_
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The row's number: its task and place. A task that runs again reads the same rows.
         row, table = TaskContext.get().partitionId() << 40, known.value
-        for batch in batches:
+        for batch in slices(batches):
             ids, numbers, sizes, sums, pieces, times = [], [], [], [], [], []
             for key, value in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 content = value.as_py() or ""
