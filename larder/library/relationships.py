@@ -87,11 +87,15 @@ def difficulty_bands(cat: Catalogue, limits: tuple[int, int, int] = (1, 2, 3)) -
 def recipe_ingredient_sample(cat: Catalogue, limit: int | None = 15) -> DataFrame:
     recipes = cat.recipes.select(F.col("id").alias("recipe_id"), F.col("name").alias("recipe"))
     ingredients = cat.ingredients.select("ingredient_id", F.col("name").alias("ingredient"))
-    joined = (active(cat.recipe_ingredients)
-              .select("recipe_id", "ingredient_id", "quantity", "unit", "position")
-              .join(recipes, "recipe_id").join(ingredients, "ingredient_id"))
-    return top(joined, limit, "recipe_id", "ingredient_id").select(
-        "recipe", "ingredient", "quantity", "unit", "position")
+    links = active(cat.recipe_ingredients).select(
+        "recipe_id", "ingredient_id", "quantity", "unit", "position")
+    known = (links.join(recipes.select("recipe_id"), "recipe_id", "left_semi")
+             .join(ingredients.select("ingredient_id"), "ingredient_id", "left_semi"))
+    # Cut first: names are joined for the listed few only.
+    chosen = top(known, limit, "recipe_id", "ingredient_id")
+    return (chosen.join(recipes, "recipe_id").join(ingredients, "ingredient_id")
+            .orderBy("recipe_id", "ingredient_id")
+            .select("recipe", "ingredient", "quantity", "unit", "position"))
 
 
 def cuisine_breakdown(cat: Catalogue) -> DataFrame:
