@@ -551,12 +551,13 @@ on_catalogue(
            AND DATE '{REPORT_DAY}' GROUP BY allergen_name""")
 on_catalogue(
     "allergen_heatmap_rows",
-    lambda cat: report.allergen_heatmap(cat, REPORT_DAY, HEATMAP_WEEKS[-1:], rows=20),
-    f"""SELECT allergen_name, coalesce(max(percentage_of_menu) FILTER (
-                   week_start_date = DATE '{HEATMAP_WEEKS[-1]}'), 0) AS "{HEATMAP_WEEKS[-1]}"
-        FROM (FROM allergen_density WHERE week_start_date <= DATE '{REPORT_DAY}'
-              ORDER BY week_start_date DESC, allergen_name LIMIT 20)
-        GROUP BY allergen_name""")
+    lambda cat: report.allergen_heatmap(cat, REPORT_DAY, HEATMAP_WEEKS, rows=20),
+    "SELECT allergen_name, " + ", ".join(
+        f"""coalesce(max(percentage_of_menu) FILTER (week_start_date = DATE '{w}'), 0)
+            AS "{w}\"""" for w in HEATMAP_WEEKS)
+    + f""" FROM (FROM allergen_density WHERE week_start_date <= DATE '{REPORT_DAY}'
+                 ORDER BY week_start_date DESC, allergen_name LIMIT 20)
+           GROUP BY allergen_name""")
 on_catalogue("survival_histogram", report.survival_histogram,
              """SELECT is_currently_active, total_weeks_active, count(*) AS recipe_count
                 FROM recipe_survival_metrics GROUP BY ALL""")
