@@ -307,8 +307,10 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ``ids`` (array of int) for every row of ``docs``."""
+def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
+            read_back: bool = False) -> DataFrame:
+    """doc_id and ``ids`` (array of int) for every row of ``docs``; with ``read_back`` also
+    ``text``, decoded from those ids by the same task."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,15 +318,20 @@ def encoded(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
         for batch in slices(batches):
             values = [np.fromiter(chain.from_iterable(own.encode(t.as_py() or "")), np.int32)
                       for t in batch["text"]]
-            ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-            flat = np.concatenate(values) if values else np.empty(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["doc_id", "ids"])
+            columns = {"doc_id": batch["doc_id"], "ids": _lists(values)}
+            if read_back:
+                columns["text"] = pa.array(map(own.decode, values), pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
         own.cache.trim()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(encode, f"doc_id {kind}, ids array<int>")
+    return rows.mapInArrow(encode, f"doc_id {kind}, ids array<int>" + ", text string" * read_back)
+
+
+def _lists(values: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(
+        [np.empty(0, np.int32), *values])))
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
@@ -333,11 +340,10 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
         for batch in slices(batches):
-            ids = batch["ids"]
-            flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+            flat, ends = batch["ids"].values.to_numpy(), batch["ids"].offsets.to_numpy()
             texts = [own.decode(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], ids, pa.array(texts, pa.string())],
+                [batch["doc_id"], batch["ids"], pa.array(texts, pa.string())],
                 names=["doc_id", "ids", "text"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -227,6 +227,7 @@ def _judge(shared: Broadcast, least: int, threshold: float):
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], batch["text"], pa.array(found, before.type)],
                 names=["row", "text", "matches"])
+        codes().clear()  # the worker goes on to other stages
     return judge
 
 

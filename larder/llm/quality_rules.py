@@ -98,7 +98,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         lambda acc, at: F.struct(
             (acc["n"] + at + WINDOW - F.greatest(at, acc["end"])).alias("n"),
             (at + WINDOW).alias("end")))["n"]
-    return found.select(
+    rows = found.select(
         "doc_id", "n_words",
         F.aggregate("_words", F.lit(0).cast("long"), lambda acc, w: acc + F.length(w))
          .alias("word_chars"),
@@ -107,6 +107,9 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.regexp_count("_text", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"))
+    # No filter moves below an explode. Else one on a measurement would be rewritten in terms of
+    # the text, with every step above repeated wherever its result is used.
+    return rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("m")).select("m.*")
 
 
 def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -160,12 +163,9 @@ def ablation(rows: DataFrame, policy: Policy = CURRENT) -> DataFrame:
 def kept_rows(docs: DataFrame, policy: Policy = CURRENT, doc_id: str = "doc_id",
               text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the policy keeps, with all their columns. The row travels along
-    as one struct, so nothing is joined back and no column name can clash. The verdict is taken
-    together with a row number: else the optimizer would move the filter, and all that is measured
-    with it, below the steps that measure once."""
+    as one struct, so nothing is joined back and no column name can clash."""
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
                         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     verdict = judged(ledger(whole.select(F.struct("doc_id", "row").alias("doc_id"), "text"),
                             "doc_id", "text"), policy)
-    numbered = verdict.select("doc_id", "kept", F.monotonically_increasing_id().alias("place"))
-    return numbered.where("kept AND place >= 0").select("doc_id.row.*")
+    return verdict.where("kept").select("doc_id.row.*")

@@ -46,7 +46,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.decoded(bpe.encoded(docs, path), path).select(
+    return bpe.encoded(docs, path, read_back=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"))

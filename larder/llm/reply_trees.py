@@ -73,7 +73,7 @@ def chosen_paths(messages: DataFrame, best: int = 1) -> tuple[DataFrame, DataFra
         "conv", "node", F.when(F.col("known"), F.col("parent")).alias("anc"), "score",
         F.col("node").alias("last"))
     # (conv, node, anc): anc is the 2**k-th ancestor; score and last cover the nodes before it.
-    jumps, done, k = [], [], 0
+    jumps, done, k, size = [], [], 0, kept.count()
     step = stored(linked, "tree-jump-0")
     while True:
         open_ = step.where("anc IS NOT NULL")
@@ -81,7 +81,7 @@ def chosen_paths(messages: DataFrame, best: int = 1) -> tuple[DataFrame, DataFra
                                                      F.col("last").alias("root")))
         if open_.isEmpty():
             break
-        if k > 40:
+        if 2 ** k > size:  # longer than any branch could be
             raise ValueError("messages answer each other in a circle")
         jumps.append(open_.select("conv", "node", "anc"))
         k += 1

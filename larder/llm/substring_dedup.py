@@ -330,12 +330,12 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX
     return known.unionByName(grown).unionByName(deep)
 
 
-def cut(length: int):
-    """Texts with their spans: the words that no repeated window covers."""
+def cut(length: int, name: str):
+    """Rows with their spans: the words that no repeated window covers."""
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             totals, removed, words_left, texts_left = [], [], [], []
-            for text, spans in zip(batch["text"], batch["spans"]):
+            for text, spans in zip(batch["row"].field(name), batch["spans"]):
                 words = (text.as_py() or "").encode().split()
                 left, content = words, text.as_py()
                 if spans.is_valid:
@@ -374,7 +374,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, gr
         "doc", "tag").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     whole = keyed(docs, doc_id, text,
                   F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = whole.join(spans, ["doc", "tag"], "left").select("row", "text", "spans")
+    joined = whole.join(spans, ["doc", "tag"], "left").select("row", "spans")
     kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(cut(length), f"row {kind}, n_words bigint, n_removed bigint, "
+    return joined.mapInArrow(cut(length, text), f"row {kind}, n_words bigint, n_removed bigint, "
                                           "kept_words string, kept_text string")

@@ -41,7 +41,9 @@ def test_ids_and_texts_equal_the_library(docs):
     assert sorted(map(tuple, want)) == sorted(tuple(r.ids) for r in got)
     for row in got:
         assert row.text == library.decode(row.ids, skip_special_tokens=False)
-    assert bpe.encoded(docs.limit(0), BPE).count() == 0
+    both = bpe.encoded(docs, BPE, read_back=True).collect()
+    assert sorted((tuple(r.ids), r.text) for r in both) == sorted((tuple(r.ids), r.text) for r in got)
+    assert bpe.encoded(docs.limit(0), BPE, read_back=True).count() == 0
 
 
 def test_any_ids_decode_like_the_library():
