@@ -41,7 +41,7 @@ LIMIT = 0x558
 DISPUTED = re.compile("[\u0558-\U0010ffff]")
 #: Cached pieces in a Python worker while a task runs, those it keeps for the next task, pairs of
 #: tokens remembered, and characters of a text split at a time.
-CACHE, KEPT, PAIRS, SEGMENT = 250_000, 120_000, 150_000, 1 << 18
+CACHE, KEPT, PAIRS, SEGMENT = 400_000, 250_000, 400_000, 1 << 18
 
 
 def plain_split() -> re.Pattern:
