@@ -41,7 +41,8 @@ K, PICKS, BANDS, SIMILARITY, ROUNDS = 5, 3, 20, 0.8, 3
 
 
 def labelled(found: np.ndarray) -> np.ndarray:
-    """Runs with their occurrence mixed in: the second one of a kind differs from the first."""
+    """Runs with their occurrence mixed in: the second one of a kind differs from the first, which
+    keeps its code, so that texts with and without repeated runs share labels."""
     order = np.argsort(found, kind="stable")
     ordered = found[order]
     new = np.ones(len(found), bool)
@@ -51,7 +52,8 @@ def labelled(found: np.ndarray) -> np.ndarray:
     place = np.arange(len(found))
     nth = place - np.maximum.accumulate(np.where(new, place, 0))
     out = np.empty_like(found)
-    out[order] = mixed(ordered + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    again = mixed(ordered + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    out[order] = np.where(new, ordered, again)
     return out
 
 

@@ -208,6 +208,27 @@ def test_classes_equal_brute_force(spark):
     assert near_dedup.classified(docs.limit(0)).count() == 0
 
 
+def spoken_twice():
+    """Pairs of near copies of which the second says a sentence or a line again."""
+    pick = random.Random(12)
+    rows = []
+    for i in range(12):
+        words = word_list(prose(pick, 150, 90000))
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + words[20:30]))]
+    return rows
+
+
+def test_repeated_runs_keep_near_copies_together(spark):
+    once = np.arange(1, 9, dtype=np.uint64)
+    assert set(near_dedup.labelled(np.append(once, once[2]))) > set(near_dedup.labelled(once))
+    rows = spoken_twice()
+    want = brute_classes(rows)
+    assert len({c for _, c in want}) == len(rows) // 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(((True, r.doc_id), r.class_id)
+                  for r in near_dedup.classified(docs).collect()) == want
+
+
 def test_components(spark):
     pick = random.Random(1)
     edges = [(pick.randrange(300), pick.randrange(300)) for _ in range(200)]
