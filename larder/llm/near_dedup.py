@@ -7,14 +7,16 @@ chance falls with every edit and with every change of order. Texts that share a
 a pair is a link if a banded alignment of their run sequences matches M runs with
 M / (n1 + n2 - M) at least ``similarity``. Classes are the connected components of the links.
 
-Equal texts are one text from the start (by a 64-bit hash), however many copies there are. Texts in
-a bucket are not paired with each other: each is compared with the bucket's hub, so candidates grow
-with the bucket, not with its square. In the first round the hub is the bucket's least text. A
-bucket that still holds texts of different classes takes part in ``rounds`` more rounds with other
-hubs, drawn anew for each bucket and round, and the rounds end early when no new pair is proposed.
-A link is missed if the two texts share no band (at ``similarity`` 0.8 about 1 in a million pairs
-with the defaults), or if in no bucket they share either is ever the hub and no chain of links
-through hubs joins them.
+Equal texts are one text from the start (by a 64-bit hash), however many copies there are. Candidates
+are decided in two steps. First each text of a bucket is compared with the bucket's hub: its least
+text, then in ``rounds`` more rounds others, drawn anew for each bucket and round, as long as the
+bucket holds texts of different classes and new pairs are proposed. This joins most of what is to be
+joined. Then all pairs of a bucket that are still in different classes are decided: the members
+are dealt into slices of bounded size, and a task compares two slices at a time. Lengths and a
+parity bitmap of the runs rule out pairs that cannot be similar enough; the others are aligned,
+unless links found in the task have joined them. No candidate is left out, so a link is missed only
+if the two texts share no band (at ``similarity`` 0.8 about 1 in a million pairs with the defaults)
+and no chain of links joins them.
 
 Defined results: null and empty texts are equal texts; a text of fewer than ``k`` words is one run;
 a class is named by its least document id (null ids count only if there is no other); repeated rows
@@ -35,6 +37,8 @@ from larder.llm.common import slices, stored, text_of
 from larder.llm.word_arrays import mixed, portions, runs
 
 K, PICKS, BANDS, SIMILARITY, ROUNDS = 5, 3, 20, 0.8, 3
+#: Members and bytes of word codes of a slice of a bucket, on average; bits of a parity bitmap.
+SLICE, SLICE_BYTES, MARK = 500, 4 << 20, 2048
 
 
 # ---- sketches ----------------------------------------------------------------------------------
@@ -172,9 +176,170 @@ def verify(k: int, least: float):
     return links
 
 
+# ---- pairs within buckets ----------------------------------------------------------------------
+
+
+def marked(k: int):
+    """Length of a run sequence, and for each of ``MARK`` bits whether an odd number of its labelled
+    runs falls there: two texts differ in at least as many runs as their bitmaps do in bits."""
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            count, bits = [], []
+            for v in batch["codes"]:
+                found = text_runs(np.frombuffer(v.as_buffer(), np.uint32).astype(np.uint64), k)
+                place = (labelled(found) % np.uint64(MARK)).astype(np.int64)
+                odd = (np.bincount(place, minlength=MARK) & 1).astype(np.uint8)
+                count.append(len(found))
+                bits.append(np.packbits(odd).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch["vid"], batch["keys"], pa.array(count, pa.int64()),
+                 pa.array(bits, pa.binary())], names=["vid", "keys", "runs", "mark"])
+    return marks
+
+
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one bucket and pair of slices after the other, from rows sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = np.stack([batch[c].to_numpy().astype(np.int64) for c in ("key", "i", "j")], axis=1)
+        new = np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1
+        cuts = [0, *new.tolist(), batch.num_rows]
+        if held and last != tuple(ids[0]):
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+        last = tuple(ids[-1])
+    if held:
+        yield pa.Table.from_batches(held)
+    pa.default_memory_pool().release_unused()
+
+
+def possible(table: pa.Table, least: float) -> dict[int, np.ndarray]:
+    """By place of a row, the places of the rows that lengths and bitmaps do not rule out, where
+    this bucket is the first one that the pair shares and their classes differ."""
+    label, runs_, own = (table[c].to_numpy() for c in ("label", "runs", "own"))
+    keys = np.array(table["keys"].to_pylist(), np.int64)
+    mark = np.frombuffer(b"".join(table["mark"].to_pylist()), np.uint64).reshape(len(keys), -1)
+    key, i, j = (table[c][0].as_py() for c in ("key", "i", "j"))
+    band = int(np.argmax(keys[0] == key))
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    found = {}
+    for at, u in enumerate(left):
+        v = right if i < j else left[at + 1:]
+        v = v[label[v] != label[u]]
+        need = least / (1 + least) * (runs_[v] + runs_[u])
+        v = v[np.minimum(runs_[v], runs_[u]) + 1e-9 >= need]
+        v = v[~(keys[v, :band] == keys[u, :band]).any(axis=1)]
+        if not len(v):
+            continue
+        both = runs_[v] + runs_[u]
+        apart = np.bitwise_count(mark[v] ^ mark[u]).sum(axis=1, dtype=np.int64)
+        v = v[apart <= both - 2 * least / (1 + least) * both + 1e-6]
+        if len(v):
+            found[int(u)] = v
+    return found
+
+
+def proposed(least: float):
+    """Of two slices the texts that belong to a possible pair, each with its ``others``."""
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in together(batches):
+            found = possible(table, least)
+            if not found:
+                continue
+            vid = table["vid"].to_numpy()
+            rows = sorted(set(found) | {int(v) for x in found.values() for v in x})
+            part = table.take(pa.array(rows)).combine_chunks()
+            others = pa.array([vid[found[r]].tolist() if r in found else [] for r in rows],
+                              pa.list_(pa.int64()))
+            for batch in part.select(["key", "i", "j", "vid", "label"]).append_column(
+                    "others", others).to_batches():
+                yield batch
+    return texts
+
+
+def decided(k: int, least: float):
+    """The links among the proposed pairs; pairs that links have joined already are left."""
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in together(batches):
+            vids = table["vid"].to_pylist()
+            label = dict(zip(vids, table["label"].to_pylist()))
+            codes = dict(zip(vids, table["codes"]))
+            up: dict[int, int] = {}
+            known: dict[int, np.ndarray] = {}
+
+            def root(x):
+                while up.setdefault(x, x) != x:
+                    up[x] = x = up[up[x]]
+                return x
+
+            def found(v):
+                if v not in known:
+                    known[v] = text_runs(
+                        np.frombuffer(codes[v].as_buffer(), np.uint32).astype(np.uint64), k)
+                return known[v]
+
+            out = []
+            for u, others in zip(vids, table["others"]):
+                for v in others.as_py():
+                    a, b = root(label[u]), root(label[v])
+                    if a != b and similar(found(u), found(v), least) > 0:
+                        up[a] = b
+                        out.append((max(u, v), min(u, v)))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for x, _ in out], pa.int64()),
+                     pa.array([x for _, x in out], pa.int64())], names=["vid", "hub"])
+    return links
+
+
+def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, codes: DataFrame,
+              k: int, least: float) -> DataFrame:
+    """vid and hub of links between members of a bucket with different labels: together with the
+    labels they give the classes of all links that any bucket has."""
+    parts = ["key", "i", "j"]
+    open_ = stored(in_classes(shared, labels).join(
+        in_classes(shared, labels).groupBy("key").agg(
+            F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low <> high and n > 2")  # the one pair of two was compared in the first round
+        .select("key"), "key"), "near-open")
+    marks = stored(codes.join(open_.select("vid").distinct(), "vid", "left_semi").join(
+        reps.select("vid", "keys"), "vid").select("vid", "codes", "keys").mapInArrow(
+            marked(k), "vid bigint, keys array<bigint>, runs bigint, mark binary"), "near-marks")
+    dealt = open_.join(marks.select("vid", "runs"), "vid").groupBy("key").agg(F.ceil(F.greatest(
+        F.count("*") / SLICE, F.sum("runs") * 4 / SLICE_BYTES)).cast("int").alias("n_slices"))
+    members = open_.join(dealt, "key").withColumn("n_slices", F.greatest("n_slices", F.lit(1)))\
+        .withColumn("own", F.pmod(F.xxhash64("vid", "key"), "n_slices").cast("int")).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1))).select(
+            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            "own", "vid", "label")
+    kind = "key bigint, i int, j int, vid bigint, label bigint"
+    pairs = stored(members.join(marks, "vid").repartition(*parts).sortWithinPartitions(*parts)
+                   .select(*parts, "own", "vid", "label", "keys", "runs", "mark").mapInArrow(
+                       proposed(least), f"{kind}, others array<bigint>"), "near-possible")
+    return stored(pairs.join(codes, "vid").repartition(*parts).sortWithinPartitions(*parts)
+                  .select(*parts, "vid", "label", "others", "codes").mapInArrow(
+                      decided(k, least), "vid bigint, hub bigint"), "near-links")
+
+
 # ---- classes -----------------------------------------------------------------------------------
 
 
+def in_classes(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members of buckets, each with the label of its class so far."""
+    if labels is None:
+        return shared.select("*", F.col("vid").alias("label"))
+    return shared.join(labels, "vid", "left").select(
+        "key", "vid", F.coalesce("label", "vid").alias("label"))
+
+
 def components(links: DataFrame, a: str = "vid", b: str = "hub") -> DataFrame:
     """vid and label, the least vid of its component, for every vid with a link. Labels spread to
     neighbours and then jump to their own label's label, until nothing changes."""
@@ -218,11 +383,7 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
 
     links = tested = labels = None
     for turn in range(rounds + 1):
-        if labels is None:
-            now = shared.select("*", F.col("vid").alias("label"))
-        else:
-            now = shared.join(labels, "vid", "left").select(
-                "key", "vid", F.coalesce("label", "vid").alias("label"))
+        now = in_classes(shared, labels)
         order = F.col("vid") if turn == 0 else F.xxhash64("vid", "key", F.lit(turn))
         hubs = now.groupBy("key").agg(
             F.min(F.struct(order.alias("at"), "vid", "label")).alias("hub"),
@@ -247,6 +408,9 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
         tested = pair if tested is None else tested.unionByName(pair)
         if not new.isEmpty():
             labels = components(links)
+    new = left_over(shared, labels, reps, codes, k, similarity)
+    if not new.isEmpty():
+        labels = components(new if links is None else links.unionByName(new))
     if labels is None:
         return reps.select("vid", "first_doc", F.col("vid").alias("label"),
                            F.col("first_doc").alias("class_id"))

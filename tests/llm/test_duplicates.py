@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -229,6 +230,58 @@ def test_repeated_runs_keep_near_copies_together(spark):
                   for r in near_dedup.classified(docs).collect()) == want
 
 
+def starred_rows():
+    """Originals and independently edited copies: similar to the original, not to each other."""
+    pick = random.Random(14)
+    rows = []
+    for size in (300, 40, 25):
+        original = word_list(prose(pick, 200, 90000))
+        star = [" ".join(original)]
+        for _ in range(size):
+            words = list(original)
+            for at in pick.sample(range(5, 195), 4):
+                words[at] = f"edit{pick.randrange(10 ** 9)}"
+            star.append(" ".join(words))
+        pick.shuffle(star)
+        rows += [(len(rows) + i, t) for i, t in enumerate(star)]
+    return rows
+
+
+def exact_classes(rows, least=0.8):
+    """Like brute_classes; pairs with too few runs in common, counted, are not aligned."""
+    runs = [runs_of(t) for _, t in rows]
+    counts = [Counter(r) for r in runs]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            n = len(runs[i]) + len(runs[j])
+            if root(i) == root(j) or (counts[i] & counts[j]).total() < least / (1 + least) * n - 1e-9:
+                continue
+            m = common_subsequence(runs[i], runs[j])
+            if m >= least * (n - m):
+                up[root(i)] = root(j)
+    names = {}
+    for i, (doc, _) in enumerate(rows):
+        names[root(i)] = min(names.get(root(i), doc), doc)
+    return {doc: names[root(i)] for i, (doc, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("size", [500, 16])
+def test_stars_equal_brute_force(spark, size, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SLICE", size)
+    rows = starred_rows()
+    want = exact_classes(rows)
+    assert len(set(want.values())) == 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in near_dedup.classified(docs).collect()} == want
+
+
 def test_components(spark):
     pick = random.Random(1)
     edges = [(pick.randrange(300), pick.randrange(300)) for _ in range(200)]
