@@ -180,10 +180,58 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM fits
 """
 
+def _lloyd(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Product quantisation with the rounds written out: b<k> is the codebook before round k, a<k>
+    each part's nearest entry of it."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT r, pos, min({{'d': (list_dot_product(p.part, p.part) + list_dot_product(b.part, b.part)
+                             - 2 * list_dot_product(p.part, b.part))::BIGINT,
+                       'e': e}}) AS best, any_value(p.part) AS part
+  FROM p JOIN b{k} b USING (pos) GROUP BY r, pos)""")
+        if k < rounds:
+            steps.append(f"""
+b{k + 1} AS MATERIALIZED (
+  SELECT pos, e, coalesce(m.part, b{k}.part) AS part
+  FROM b{k} LEFT JOIN (
+    SELECT pos, e, list(c ORDER BY i) AS part
+    FROM (SELECT pos, best.e AS e, i, floor(sum(part[i]) / count(*)) AS c
+          FROM a{k}, unnest(range(1, len(part) + 1)) AS u(i) GROUP BY ALL)
+    GROUP BY pos, e) m USING (pos, e))""")
+    return f"""
+WITH fine AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r FROM fine),
+p AS MATERIALIZED (
+  SELECT r, pos, v[pos * len(v) // {parts} + 1 : (pos + 1) * len(v) // {parts}] AS part
+  FROM numbered, unnest(range({parts})) AS u(pos)),
+b0 AS (SELECT pos, r - 1 AS e, part FROM p WHERE r <= {entries}),
+{",".join(steps)},
+coded AS (
+  SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY pos) AS code,
+         sum(best.d)::BIGINT AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY pos, e, i))
+        FROM (SELECT pos, e, i, part[i] AS c
+              FROM b{rounds}, unnest(range(1, len(part) + 1)) AS u(i))) AS codebooks_sha256
+FROM numbered JOIN coded USING (r)
+"""
+
+
+OP13 = _lloyd()
+
 ORACLES = {
     "op1_quality_rules": OP1,
     "op2_substring_dedup": OP2,
     "op6_sharding": OP6,
     "op7_chat_formatting": OP7,
     "op10_url_filters": OP10,
+    "op13_vector_codes": OP13,
 }

@@ -17,6 +17,7 @@ from larder.llm import (
     substring_dedup,
     token_counts,
     url_reputation,
+    vector_codes,
 )
 from larder.llm.common import read
 from larder.llm.oracles import ORACLES
@@ -116,6 +117,15 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judged(pages, URL_RULES, SHARED_SUFFIXES)
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    codes, books = vector_codes.compressed(vectors, parts=4, entries=256, rounds=4)
+    hexes = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    return vector_codes.label_errors(codes).select(
+        "vec_id", F.array_join(hexes, "").alias("code"), "error", "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
@@ -127,4 +137,5 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
+    "op13_vector_codes": op13_vector_codes,
 }
