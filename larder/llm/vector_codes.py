@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from larder.llm.common import stored
 
 #: Vectors of a block, parts of a leaf of its trees.
-BLOCK, LEAF = 4096, 32
+BLOCK, LEAF = 4096, 128
 
 
 # --- trees ----------------------------------------------------------------------------

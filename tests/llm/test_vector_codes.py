@@ -65,6 +65,7 @@ ODD = [(7, None, 1), (8, [1.0, None, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0], 1),
     (vectors(6, 40, 8, [100000.25, -100000.5]), 4),       # beyond exact doubles
 ])
 def test_codes_equal_brute_force(spark, rows, entries, monkeypatch):
+    monkeypatch.setattr(vector_codes, "LEAF", 8)
     codes, books = vector_codes.compressed(frame(spark, rows), entries=entries)
     want, want_books = brute(rows, entries=entries)
     assert [b.tolist() for b in books] == want_books
@@ -76,6 +77,7 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     rows = vectors(9, 500, 8)
     want, _ = brute(rows, entries=32)
     monkeypatch.setattr(vector_codes, "BLOCK", 50)
+    monkeypatch.setattr(vector_codes, "LEAF", 4)
     codes, _ = vector_codes.compressed(frame(spark, rows, 2), entries=32)
     assert sorted((r.vec_id, tuple(r.codes)) for r in codes.collect()) == sorted(
         (i, c) for i, _, c, _ in want)
