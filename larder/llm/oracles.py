@@ -180,6 +180,41 @@ SELECT page_id, host, path, best.rule AS rule,
 FROM fits
 """
 
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+  FROM documents, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS u(piece)),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, words[i : i + k - 1] AS p, count(*) AS f
+  FROM pieces, unnest(range(1, 6)) AS a(k), unnest(range(1, len(words) - k + 2)) AS b(i)
+  GROUP BY ALL HAVING count(*) >= 100),
+inside AS (
+  SELECT lang, p, max(f) AS most
+  FROM (SELECT lang, p[: len(p) - 1] AS p, f FROM f WHERE len(p) > 2
+        UNION ALL SELECT lang, p[2 :], f FROM f WHERE len(p) > 2) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, n, x.f AS l, y.f AS r, k,
+         (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM f c JOIN totals USING (lang), unnest(range(1, len(c.p))) AS u(k)
+  JOIN f x ON x.lang = c.lang AND x.p = c.p[: k]
+  JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1 :]),
+scored AS (
+  SELECT lang, p, a, n, min({'score': score, 'k': k, 'l': l, 'r': r}) AS cut
+  FROM cuts GROUP BY lang, p, a, n),
+ranked AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, cut.l AS l, cut.r AS r, n,
+         cut.score::BIGINT AS score
+  FROM scored LEFT JOIN inside USING (lang, p) WHERE most IS NULL OR 100 * most < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM ranked QUALIFY rank <= 2000
+"""
+
+
 def _lloyd(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
     """Product quantisation with the rounds written out: b<k> is the codebook before round k, a<k>
     each part's nearest entry of it."""
@@ -233,5 +268,6 @@ ORACLES = {
     "op6_sharding": OP6,
     "op7_chat_formatting": OP7,
     "op10_url_filters": OP10,
+    "op12_collocations": OP12,
     "op13_vector_codes": OP13,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larder.llm import (
     bpe,
+    collocations,
     decontamination,
     near_dedup,
     quality_rules,
@@ -117,6 +118,11 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judged(pages, URL_RULES, SHARED_SUFFIXES)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("text", "lang")
+    return collocations.collocations(docs, least=100, top=2000)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     codes, books = vector_codes.compressed(vectors, parts=4, entries=256, rounds=4)
@@ -137,5 +143,6 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
+    "op12_collocations": op12_collocations,
     "op13_vector_codes": op13_vector_codes,
 }
