@@ -8,15 +8,17 @@ grouped by what follows their first word are the extensions to the left.
 1. The stripe of the empty prefix: how often every word occurs, and how many words there are.
 2. Stripes of single words. A phrase can only be frequent if its words are, so pairs with a word
    below the threshold are left out.
-3. Stripes of two to four words, wherever all pairs of neighbouring words are frequent.
+3. Stripes of frequent pairs, counting what follows in one, two and three words, wherever all
+   pairs of neighbouring words are frequent.
 
 Between the steps the frequent words or pairs travel as a Bloom filter of a fixed size
 (:data:`BITS`, 16 MB). What it lets through by mistake is counted exactly and falls below the
 threshold in the end, so it changes the size of the shuffle, never the result.
 
-A stripe is dealt by (language, prefix, slot of the next word), so that a prefix with a third of all
-pairs is merged in :data:`SLOTS` places, and each place gets one row per task. Merging reads rows in
-key order and holds one counter. Phrases are told apart by their texts; within a megabyte of text
+A prefix that begins at every thousandth word or more often is *hot* (there are at most a thousand):
+its stripe is split into :data:`SLOTS` slots by the next word. Stripes are dealt by (language,
+prefix, slot) to :data:`BINS` bins for each shuffle partition, and a task sends one row with all its
+stripes of a bin. Merging holds one bin at a time, a small share of a partition. Phrases are told apart by their texts; within a megabyte of text
 words are told apart by 64-bit codes.
 
 Definitions: A-Z are lower-cased; texts are cut into pieces at ``. , ; : ! ?`` and \\n to \\r, pieces
@@ -35,12 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import slices, stored
+from larder.llm.common import partitions, slices, stored
 from larder.llm.word_arrays import BASE, INVERSE, PORTION, mixed, powers
 
 LONGEST = 5
@@ -48,8 +49,12 @@ LONGEST = 5
 BITS = 1 << 27
 #: Merging places of one prefix (a power of two).
 SLOTS = 64
-#: Entries and distinct words that a task holds before it hands its stripes on.
-HELD = 1_000_000
+#: Entries, and distinct words or prefixes, that a task holds before it hands its stripes on.
+HELD, NAMES = 1_000_000, 400_000
+#: Bins for each shuffle partition.
+BINS = 16
+#: A prefix is hot if it begins at one of so many words.
+HOT = 1000
 
 CUT = np.zeros(256, bool)
 CUT[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -170,21 +175,26 @@ def filter_of(phrases: DataFrame, words: int) -> Broadcast:
 
 # --- stripes --------------------------------------------------------------------------
 
-STRIPES = "words int, lang string, prefix string, slot int, nexts string, counts array<bigint>"
+STRIPES = ("bin int, langs array<string>, prefixes array<string>, sizes array<int>, nexts string, "
+           "counts array<bigint>")
 
 
 class Stripes:
-    """The stripes a task fills. A prefix is a node: its last word and the node before that."""
+    """The stripes a task fills: prefixes of one or two words, and for each the counter of the next
+    word, of the next two and so on. What follows a prefix is kept as a trie whose nodes are a
+    parent and a word."""
 
-    def __init__(self, first: int, last: int):
-        self.first, self.last = first, last
+    def __init__(self, prefix: int, depth: int, hot: set[tuple[str, str]], bins: int):
+        self.prefix, self.depth, self.hot, self.bins = prefix, depth, hot, bins
         self.clear()
 
     def clear(self) -> None:
         self.ids: dict[tuple[str, str], int] = {}
         self.slots: list[int] = []
-        self.nodes = {n: {} for n in range(2, self.last)}
-        self.held = {n: [] for n in range(self.first, self.last + 1)}
+        self.roots: dict[int, int] = {}
+        self.is_hot: list[bool] = []
+        self.nodes = [{} for _ in range(self.depth - 1)]
+        self.held = [[] for _ in range(self.depth)]
         self.size = self.merged = 0
 
     def word_ids(self, portion: Portion, wanted: np.ndarray) -> np.ndarray:
@@ -198,78 +208,115 @@ class Stripes:
             number = self.ids.setdefault(name, len(self.ids))
             if number == len(self.slots):
                 self.slots.append(zlib.crc32(name[1].encode()) % SLOTS)
+                if self.prefix == 1:
+                    self.is_hot.append(name in self.hot)
             found.append(number)
         out[wanted] = np.array(found, np.int64)[back]
         return out
 
+    def root_ids(self, portion: Portion, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The id of the prefix that begins at each place."""
+        if self.prefix == 1:
+            return ids[place]
+        pairs, at, back = np.unique(ids[place] << 32 | ids[place + 1], return_index=True,
+                                    return_inverse=True)
+        found = []
+        for pair, i in zip(pairs.tolist(), place[at].tolist()):
+            number = self.roots.setdefault(pair, len(self.roots))
+            if number == len(self.is_hot):
+                lang, word = portion.named(i)
+                self.is_hot.append((lang, f"{word} {portion.named(i + 1)[1]}") in self.hot)
+            found.append(number)
+        return np.array(found, np.int64)[back]
+
     def add(self, portion: Portion, ids: np.ndarray, linked: np.ndarray) -> None:
         """Count phrases over neighbours that are ``linked``, from each word of its own."""
-        slots = np.array(self.slots, np.int64)
+        ahead = np.append(linked, np.zeros(LONGEST, bool))
         place = np.flatnonzero(linked & portion.own[:-1])
-        node = ids[place]
-        for n in range(2, self.last + 1):
-            word = ids[place + n - 1]
-            key = node << 32 | slots[word] << 26 | word
-            unique, back, counts = np.unique(key, return_inverse=True, return_counts=True)
-            if n >= self.first:
-                self.held[n].append((unique, counts))
-                self.size += len(unique)
-            if n == self.last or not len(key):
-                break
-            known = self.nodes[n]
-            node = np.array([known.setdefault(k, len(known)) for k in unique.tolist()],
-                            np.int64)[back]
-            more = place + n - 1 < len(linked)
-            more[more] = linked[place[more] + n - 1]
-            place, node = place[more], node[more]
+        for n in range(1, self.prefix):
+            place = place[ahead[place + n]]
+        if not len(place):
+            return
+        node = self.root_ids(portion, ids, place)
+        last = place + self.prefix
+        slot = np.where(np.array(self.is_hot)[node], np.array(self.slots)[ids[last]], 0)
+        node = node << 6 | slot
+        for d in range(self.depth):
+            unique, back, counts = np.unique(node << 26 | ids[last], return_inverse=True,
+                                             return_counts=True)
+            self.held[d].append((unique, counts))
+            self.size += len(unique)
+            if d < self.depth - 1:
+                known = self.nodes[d]
+                node = np.array([known.setdefault(k, len(known)) for k in unique.tolist()],
+                                np.int64)[back]
+                more = ahead[last]
+                node, last = node[more], last[more] + 1
+                if not len(last):
+                    break
         if self.size - self.merged > HELD:
-            for n, parts in self.held.items():
-                self.held[n] = [added(parts)] if parts else []
-            self.size = self.merged = sum(len(k) for parts in self.held.values()
-                                          for k, _ in parts)
+            self.held = [[added(parts)] if parts else [] for parts in self.held]
+            self.size = self.merged = sum(len(k) for parts in self.held for k, _ in parts)
 
     def full(self) -> bool:
-        return (self.merged > HELD or len(self.ids) > HELD
-                or sum(map(len, self.nodes.values())) > HELD)
+        return (self.merged > HELD or len(self.ids) + len(self.roots) > NAMES
+                or sum(map(len, self.nodes)) > NAMES)
 
     def handed_on(self) -> Iterator[pa.RecordBatch]:
         """All stripes as rows; nothing is held afterwards."""
-        names = list(self.ids)
-        # A node's text is its parent's and its word's; the words themselves are the first nodes.
-        texts = [word for _, word in names]
-        langs = [lang for lang, _ in names]
-        for n in range(2, self.last + 1):
-            if n >= self.first and self.held[n]:
-                keys, counts = added(self.held[n])
-                yield from self.rows(n, keys, counts, texts, langs, names)
-            if n < self.last:
-                known = np.fromiter(self.nodes[n], np.int64, len(self.nodes[n]))
-                parents, last = (known >> 32).tolist(), (known & (1 << 26) - 1).tolist()
-                texts = [f"{texts[p]} {names[w][1]}" for p, w in zip(parents, last)]
-                langs = [langs[p] for p in parents]
+        names, low = list(self.ids), (1 << 26) - 1
+        stripes, nexts, counts = [], [], []
+        parents = texts = None
+        for d, parts in enumerate(self.held):
+            if parts:
+                keys, n = added(parts)
+                words = [names[w][1] for w in (keys & low).tolist()]
+                above = keys >> 26
+                stripes.append(above if d == 0 else parents[above])
+                nexts += words if d == 0 else [
+                    f"{texts[p]} {w}" for p, w in zip(above.tolist(), words)]
+                counts.append(n)
+            if d < self.depth - 1:
+                known = np.fromiter(self.nodes[d], np.int64, len(self.nodes[d]))
+                words = [names[w][1] for w in (known & low).tolist()]
+                above = known >> 26
+                texts = words if d == 0 else [
+                    f"{texts[p]} {w}" for p, w in zip(above.tolist(), words)]
+                parents = above if d == 0 else parents[above]
+        if stripes:
+            prefixes = names if self.prefix == 1 else [
+                (names[pair >> 32][0], f"{names[pair >> 32][1]} {names[pair & (1 << 32) - 1][1]}")
+                for pair in self.roots]
+            yield from self.rows(np.concatenate(stripes), nexts, np.concatenate(counts), prefixes)
         self.clear()
 
-    @staticmethod
-    def rows(n: int, keys: np.ndarray, counts: np.ndarray, texts: list[str], langs: list[str],
-             names: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
-        stripe = keys >> 26
-        edges = np.append(np.flatnonzero(np.diff(stripe, prepend=-1)), len(keys))
-        nexts = [names[w][1] for w in (keys & (1 << 26) - 1).tolist()]
-        parents = (stripe[edges[:-1]] >> 6).tolist()
-        slots = stripe[edges[:-1]] & SLOTS - 1
-        for a in range(0, len(parents), 50_000):
-            b = min(a + 50_000, len(parents))
-            at = edges[a:b + 1].tolist()
+    def rows(self, stripes: np.ndarray, nexts: list[str], counts: np.ndarray,
+             prefixes: list[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+        """A row for every bin, with all its stripes."""
+        order = np.argsort(stripes, kind="stable")
+        stripes, order = stripes[order], order.tolist()
+        edges = np.append(np.flatnonzero(np.diff(stripes, prepend=-1)), len(stripes)).tolist()
+        rows: dict[int, list[tuple[tuple[str, str], int, int]]] = {}
+        for stripe, i, j in zip(stripes[edges[:-1]].tolist(), edges, edges[1:]):
+            name = prefixes[stripe >> 6]
+            place = zlib.crc32(f"{stripe & SLOTS - 1} {name[1]} {name[0]}".encode()) % self.bins
+            rows.setdefault(place, []).append((name, i, j))
+        bins = list(rows.items())
+        for at in range(0, len(bins), 256):
+            some = bins[at:at + 256]
+            chosen = [[k for _, i, j in held for k in order[i:j]] for _, held in some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(b - a, n), pa.int32()),
-                 pa.array([langs[p] for p in parents[a:b]], pa.string()),
-                 pa.array([texts[p] for p in parents[a:b]], pa.string()),
-                 pa.array(slots[a:b], pa.int32()),
-                 pa.array([" ".join(nexts[i:j]) for i, j in zip(at, at[1:])], pa.string()),
-                 pa.ListArray.from_arrays(
-                     pa.array(edges[a:b + 1] - at[0], pa.int32()),
-                     pa.array(counts[at[0]:at[-1]], pa.int64()))],
-                names=["words", "lang", "prefix", "slot", "nexts", "counts"])
+                [pa.array([place for place, _ in some], pa.int32()),
+                 pa.array([[name[0] for name, _, _ in held] for _, held in some],
+                          pa.list_(pa.string())),
+                 pa.array([[name[1] for name, _, _ in held] for _, held in some],
+                          pa.list_(pa.string())),
+                 pa.array([[j - i for _, i, j in held] for _, held in some],
+                          pa.list_(pa.int32())),
+                 pa.array(["\t".join([nexts[k] for k in entries]) for entries in chosen],
+                          pa.string()),
+                 pa.array([counts[entries] for entries in chosen], pa.list_(pa.int64()))],
+                names=["bin", "langs", "prefixes", "sizes", "nexts", "counts"])
 
 
 def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -284,64 +331,55 @@ def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
 
 
 def merged(stripes: DataFrame, least: int) -> DataFrame:
-    """words, lang, phrase, prefix, f: entries of the merged stripes from ``least`` on."""
-    key = ["words", "lang", "prefix", "slot"]
+    """words, lang, phrase, f: entries of the merged stripes from ``least`` on. One bin is held at
+    a time."""
+
+    def entries(rows: list[dict]) -> list[tuple[int, str, str, int]]:
+        totals: dict[tuple[str, str], int] = {}
+        for row in rows:
+            row["names"] = list(zip(row["langs"], row["prefixes"]))
+            row["edges"] = np.concatenate([[0], np.cumsum(row["sizes"])])
+            for name, n in zip(row["names"], np.add.reduceat(
+                    row["counts"], row["edges"][:-1]).tolist()):
+                totals[name] = totals.get(name, 0) + n
+        # A stripe that sums up to less has no frequent entry.
+        counters = {name: {} for name, n in totals.items() if n >= least}
+        for row in rows:
+            wanted = [i for i, name in enumerate(row["names"]) if name in counters]
+            nexts = row["nexts"].split("\t") if wanted else []
+            edges, counts = row["edges"].tolist(), row["counts"].tolist()
+            for i in wanted:
+                counter, a, b = counters[row["names"][i]], edges[i], edges[i + 1]
+                for more, n in zip(nexts[a:b], counts[a:b]):
+                    counter[more] = counter.get(more, 0) + n
+        return [(prefix.count(" ") + more.count(" ") + 2, lang, f"{prefix} {more}", f)
+                for (lang, prefix), counter in counters.items()
+                for more, f in counter.items() if f >= least]
+
+    def table(found: list[tuple[int, str, str, int]]) -> pa.RecordBatch:
+        columns = list(zip(*found)) or [[]] * 4
+        kinds = pa.int32(), pa.string(), pa.string(), pa.int64()
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)],
+                                          names=["words", "lang", "phrase", "f"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, {}  # the stripe that may go on in the next batch
-
-        def entries(stripe, counter):
-            return [(*stripe[:3], word, f) for word, f in counter.items() if f >= least]
-
-        def table(found):
-            columns = list(zip(*found)) or [[]] * 5
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()),
-                 pa.array([f"{p} {w}" for p, w in zip(columns[2], columns[3])], pa.string()),
-                 pa.array(columns[2], pa.string()), pa.array(columns[4], pa.int64())],
-                names=["words", "lang", "phrase", "prefix", "f"])
-
+        rows, last, found = [], None, []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            changed = np.ones(batch.num_rows + 1, bool)
-            changed[1:-1] = False
-            for name in key:
-                changed[1:-1] |= pc.not_equal(batch[name][1:], batch[name][:-1]).to_numpy(
-                    zero_copy_only=False)
-            edges = np.flatnonzero(changed)
-            offsets = batch["counts"].offsets.to_numpy()
-            counts = batch["counts"].values.to_numpy()
-            running = np.zeros(len(counts) + 1, np.int64)
-            np.cumsum(counts, out=running[1:])
-            bounds = offsets[edges]
-            totals = running[bounds[1:]] - running[bounds[:-1]]
-            found, n = [], len(totals)
-            # A stripe that sums up to less has no frequent entry; the outer ones may go on.
-            worth = totals >= least
-            worth[[0, -1]] = True
-            for g in np.flatnonzero(worth).tolist():
-                a, b = int(edges[g]), int(edges[g + 1])
-                stripe = tuple(batch[name][a].as_py() for name in key)
-                counter = {}
-                if g == 0 and stripe == last:
-                    counter = held
-                elif g == 0 and last:
-                    found += entries(last, held)
-                words = " ".join(batch["nexts"][a:b].to_pylist()).split(" ")
-                for word, f in zip(words, counts[offsets[a]:offsets[b]].tolist()):
-                    counter[word] = counter.get(word, 0) + f
-                if g == n - 1:
-                    last, held = stripe, counter
-                else:
-                    found += entries(stripe, counter)
-            if found:
-                yield table(found)
-        if last:
-            yield table(entries(last, held))
-
-    return stripes.repartition(*key).sortWithinPartitions(*key).mapInArrow(
-        merge, "words int, lang string, phrase string, prefix string, f bigint")
+            for i, place in enumerate(batch["bin"].to_pylist()):
+                if place != last and rows:
+                    found += entries(rows)
+                    rows = []
+                    if len(found) > 10_000:
+                        yield table(found)
+                        found = []
+                last = place
+                row = {name: batch[name][i].as_py() for name in (
+                    "langs", "prefixes", "sizes", "nexts")}
+                rows.append(row | {"counts": batch["counts"][i].values.to_numpy()})
+        yield table(found + entries(rows))
+
+    return stripes.repartition("bin").sortWithinPartitions("bin").mapInArrow(
+        merge, "words int, lang string, phrase string, f bigint")
 
 
 # --- the operator ---------------------------------------------------------------------
@@ -372,7 +410,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 for number, n in enumerate(np.bincount(portion.lang[own]).tolist()):
                     name = portion.langs[number], ""
                     held[name] = held.get(name, 0) + n
-                if len(held) > HELD // 4:
+                if len(held) > NAMES:
                     yield hand_on()
         yield hand_on()
 
@@ -380,12 +418,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
         "lang", "phrase").agg(F.sum("n").alias("f"))
 
 
-def stripes_of(docs: DataFrame, words: Broadcast, pairs: Broadcast | None) -> DataFrame:
-    """Stripes of single words, or with the frequent ``pairs`` those of two to four."""
-    first, last = (2, 2) if pairs is None else (3, LONGEST)
+def hot_phrases(found: DataFrame, total: int) -> set[tuple[str, str]]:
+    """(lang, phrase) of those that are one of :data:`HOT` words or more: at most :data:`HOT` words,
+    or as many pairs."""
+    return {(r.lang, r.phrase) for r in found.filter(
+        (F.col("words") > 0) & (F.col("f") * HOT >= total)).select("lang", "phrase").collect()}
+
+
+def stripes_of(docs: DataFrame, hot: set[tuple[str, str]], words: Broadcast | None,
+               pairs: Broadcast | None) -> DataFrame:
+    """Stripes of single ``words``, or of ``pairs`` with what follows in one to three words."""
+    bins = BINS * partitions(docs.sparkSession)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Stripes(first, last)
+        held = Stripes(1, 1, hot, bins) if pairs is None else Stripes(
+            2, LONGEST - 2, hot, bins)
         for batch in slices(batches):
             for portion in portions(batch):
                 if len(portion.codes) < 2:
@@ -409,17 +456,19 @@ def stripes_of(docs: DataFrame, words: Broadcast, pairs: Broadcast | None) -> Da
 
 def frequent(docs: DataFrame, least: int = 100, text: str = "text",
              lang: str = "lang") -> DataFrame:
-    """words, lang, phrase, prefix, f: all phrases of one to five words that occur ``least`` times
-    or more, and as the empty phrase (of 0 words) the number of all words."""
+    """words, lang, phrase, f: all phrases of one to five words that occur ``least`` times or more,
+    and as the empty phrase (of 0 words) the number of all words."""
     rows = docs.select(F.col(text).alias("text"),
                        F.coalesce(F.col(lang), F.lit("und")).alias("lang"))
     single = stored(word_counts(rows).filter(F.col("f") >= least).select(
-        F.when(F.col("phrase") == "", 0).otherwise(1).alias("words"), "lang", "phrase",
-        F.lit("").alias("prefix"), "f"), "collocations-1")
-    known = filter_of(single.filter("words = 1"), 1)
-    pairs = stored(merged(stripes_of(rows, known, None), least), "collocations-2")
-    known_pairs = filter_of(pairs, 2)
-    longer = stored(merged(stripes_of(rows, known, known_pairs), least), "collocations-3")
+        F.when(F.col("phrase") == "", 0).otherwise(1).alias("words"), "lang", "phrase", "f"),
+        "collocations-1")
+    total = single.filter("words = 0").agg(F.sum("f")).first()[0] or 0
+    pairs = stored(merged(stripes_of(rows, hot_phrases(single, total),
+                                     filter_of(single.filter("words = 1"), 1), None), least),
+                   "collocations-2")
+    longer = stored(merged(stripes_of(rows, hot_phrases(pairs, total), None,
+                                      filter_of(pairs, 2)), least), "collocations-3")
     return single.unionByName(pairs).unionByName(longer)
 
 
@@ -427,7 +476,9 @@ def scored(found: DataFrame) -> DataFrame:
     """lang, phrase, a, l, r, n and score of every candidate: that of its lowest-scoring cut, ties
     to the shortest first part."""
     counts = found.filter("words > 0").select("lang", "phrase", "f")
-    totals = found.filter("words = 0").select("lang", F.col("f").alias("n"))
+    # Repeated for each slot, so that the rows of one language meet in many tasks.
+    totals = found.filter("words = 0").select(
+        "lang", F.col("f").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot"))
     cuts = found.filter("words > 1").select(
         "lang", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("parts"),
         F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k")).select(
@@ -436,7 +487,9 @@ def scored(found: DataFrame) -> DataFrame:
     cuts = (cuts.join(counts.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l")),
                       ["lang", "head"])
             .join(counts.select("lang", F.col("phrase").alias("tail"), F.col("f").alias("r")),
-                  ["lang", "tail"]).join(totals, "lang"))
+                  ["lang", "tail"])
+            .withColumn("slot", F.pmod(F.xxhash64("phrase"), F.lit(SLOTS)).cast("int"))
+            .join(totals, ["lang", "slot"]))
     score = F.expr("CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(19,0)) * CAST(n AS DECIMAL(15,0)) "
                    "DIV (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0)))")
     lowest = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
@@ -448,7 +501,8 @@ def subsumed(found: DataFrame) -> DataFrame:
     """lang and phrase where a longer phrase occurs as often. It is enough to look at phrases of
     one word more: whatever lies between a phrase and a longer one occurs as often as both."""
     longer = found.filter("words > 2")
-    inside = longer.select("lang", F.col("prefix").alias("phrase"), "f").unionByName(
+    inside = longer.select(
+        "lang", F.expr("substring_index(phrase, ' ', words - 1)").alias("phrase"), "f").unionByName(
         longer.select("lang", F.expr("substring(phrase, instr(phrase, ' ') + 1)").alias("phrase"),
                       "f")).groupBy("lang", "phrase").agg(F.max("f").alias("most"))
     return found.join(inside, ["lang", "phrase"]).filter("most >= f").select("lang", "phrase")
@@ -461,7 +515,7 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, text: str =
     kept = scored(found).join(subsumed(found), ["lang", "phrase"], "anti")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # Cut in salted groups first, so that the last window sees a bounded number of rows.
-    salted = kept.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
+    salted = kept.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SLOTS)))
     part = Window.partitionBy("lang", "salt").orderBy(*order)
     few = salted.withColumn("place", F.row_number().over(part)).filter(F.col("place") <= top)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")

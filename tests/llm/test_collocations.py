@@ -76,7 +76,8 @@ def test_full_tables_and_small_portions_change_nothing(spark, monkeypatch):
     rows = ODD + [(speech(100 + i, 300), ["en", "fr"][i % 2]) for i in range(8)]
     want = brute(rows, 4, 50)
     monkeypatch.setattr(collocations, "HELD", 40)
-    monkeypatch.setattr(collocations, "PORTION", 64)
+    monkeypatch.setattr(collocations, "NAMES", 30)
+    monkeypatch.setattr(collocations, "HOT", 8)
     monkeypatch.setattr(collocations, "portions", small_portions)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
     try:
@@ -109,8 +110,8 @@ def test_portions_of_a_long_text(text, size):
 def test_products_beyond_64_bits(spark):
     big = 3 * 10 ** 9
     found = spark.createDataFrame(
-        [(0, "en", "", "", big * 1000), (1, "en", "a", "", big), (1, "en", "b", "", big + 7),
-         (2, "en", "a b", "a", big - 1)], "words int, lang string, phrase string, prefix string, f long")
+        [(0, "en", "", big * 1000), (1, "en", "a", big), (1, "en", "b", big + 7),
+         (2, "en", "a b", big - 1)], "words int, lang string, phrase string, f long")
     row = collocations.scored(found).first()
     assert row.score == 1000 * (big - 1) * big * 1000 // (big * (big + 7))
     assert (row.l, row.r, row.n) == (big, big + 7, big * 1000)
