@@ -11,6 +11,7 @@ from larder.llm import (
     collocations,
     decontamination,
     near_dedup,
+    page_text,
     quality_rules,
     reply_trees,
     rule_ensemble,
@@ -118,6 +119,12 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judged(pages, URL_RULES, SHARED_SUFFIXES)
 
 
+def op11_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return page_text.extracted(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("text", "lang")
     return collocations.collocations(docs, least=100, top=2000)
@@ -143,6 +150,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
+    "op11_page_text": op11_page_text,
     "op12_collocations": op12_collocations,
     "op13_vector_codes": op13_vector_codes,
 }
