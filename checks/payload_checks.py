@@ -162,15 +162,36 @@ AUDITED = f"""
     UNION ALL SELECT DATE '1995-01-01', 'tags', 1, NULL, count(DISTINCT p_type) FROM part
     UNION ALL SELECT DATE '1995-01-01', 'labels', 1, NULL, count(DISTINCT p_size) FROM part"""
 
+ANNOUNCED = f"""
+    SELECT *, coalesce(max(last_page) OVER (PARTITION BY pull_date, endpoint), 1) AS announced
+    FROM ({AUDITED})"""
+
+
+def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of all pages, those of tags without a locale; missing pages as text."""
+    locale = F.when(F.col("endpoint") != "tags", F.col("locale"))
+    audit = bronze.page_audit(bronze_pages(spark, sf_dir).withColumn("locale", locale))
+    return audit.withColumn("missing", F.array_join(F.transform(
+        "missing", lambda m: F.concat_ws("-", m["first"], m["last"])), ","))
+
+
 register(
-    "bronze_page_audit", lambda spark, sf: bronze.page_audit(bronze_pages(spark, sf)),
-    f"""SELECT pull_date, endpoint, 'en-GB' AS locale,
+    "bronze_page_audit", audited,
+    f"""SELECT pull_date, endpoint, CASE WHEN endpoint <> 'tags' THEN 'en-GB' END AS locale,
                count(DISTINCT page) FILTER (page <= announced) AS pages_stored,
                announced::INTEGER AS pages_announced, max(page)::INTEGER AS max_page,
                sum(records)::BIGINT AS records,
-               count(DISTINCT page) FILTER (page <= announced) >= announced AS is_complete
-        FROM (SELECT *, coalesce(max(last_page) OVER (PARTITION BY pull_date, endpoint), 1)
-                     AS announced FROM ({AUDITED}))
+               count(DISTINCT page) FILTER (page <= announced) >= announced AS is_complete,
+               coalesce(any_value(holes), '') AS missing
+        FROM ({ANNOUNCED}) LEFT JOIN (
+          SELECT pull_date, endpoint, string_agg(before + 1 || '-' || page - 1, ',' ORDER BY page)
+                 AS holes
+          FROM (SELECT *, lag(page) OVER (PARTITION BY pull_date, endpoint ORDER BY page) AS before
+                FROM (SELECT DISTINCT pull_date, endpoint, page FROM ({ANNOUNCED})
+                      WHERE page <= announced
+                      UNION SELECT pull_date, endpoint, 0 FROM ({ANNOUNCED})
+                      UNION SELECT pull_date, endpoint, announced + 1 FROM ({ANNOUNCED})))
+          WHERE page > before + 1 GROUP BY pull_date, endpoint) USING (pull_date, endpoint)
         GROUP BY pull_date, endpoint, announced""")
 register("menu_recipe_ids", lambda spark, sf: flatten.listed_recipe_ids(menus_of(spark, sf)),
          """SELECT DISTINCT l_partkey::VARCHAR AS recipe_id
@@ -392,6 +413,54 @@ for name, sql in WAREHOUSE_SQL.items():
              seen_between(sql))
 
 
+def aborted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Menus of an audited warehouse after the newest pull broke off: all earlier pulls, then of
+    the newest the first page only."""
+    house = Warehouse(spark, work_dir(spark, "aborted"), deactivate=True, audited=True)
+    pages = bronze_pages(spark, sf_dir).filter(F.col("endpoint") == "menus")
+    newest = pages.agg(F.max("pull_date")).scalar()
+    house.rebuild(pages.filter(F.col("pull_date") < newest), ("menus",))
+    house.append(pages.filter((F.col("pull_date") == newest) & (F.col("page_number") == 1)),
+                 ("menus",))
+    return house.table("menus").drop("_ingestion_ts")
+
+
+ABORTED_PAGES = f"""
+    SELECT l_orderkey, pb + 1 AS page, month, o_custkey % 40 + 1 AS last_page
+    FROM ({PAGE_ORDERS}) WHERE pb = 0 OR month < (SELECT max(month) FROM order_lines)"""
+register(
+    "warehouse_aborted_pull", aborted,
+    f"""SELECT * FROM (WITH whole AS (
+          SELECT month FROM (SELECT *, max(last_page) OVER (PARTITION BY month) AS announced
+                             FROM ({ABORTED_PAGES}))
+          GROUP BY month, announced
+          HAVING count(DISTINCT page) FILTER (page <= announced) = announced)
+        SELECT l_orderkey::VARCHAR AS id, 'menu/' || l_orderkey AS url,
+               strftime(o_orderdate, '%Y%m') AS year_week, month AS start_date,
+               month AS first_seen_date, month AS last_seen_date,
+               coalesce(month >= (SELECT max(month) FROM whole), true)::INTEGER AS is_active
+        FROM (SELECT DISTINCT l_orderkey, month FROM ({ABORTED_PAGES}))
+        JOIN orders ON o_orderkey = l_orderkey)""")
+
+
+def order_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The explicit range from each order day to the end of its month, in and out as text."""
+    day = F.to_date("o_orderdate")
+    ranges = read_table(spark, sf_dir, "orders").select(
+        day.cast("string").alias("start_text"),
+        F.last_day(day).cast("string").alias("end_text")).distinct()
+    window = calendar.date_window(F.col("start_text"), F.col("end_text"))
+    return ranges.select("start_text", "end_text", window["start"].alias("first_day"),
+                         window["end"].alias("last_day"))
+
+
+register("date_window", order_windows,
+         """SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS start_text,
+                   strftime(last_day(o_orderdate), '%Y-%m-%d') AS end_text,
+                   o_orderdate::DATE AS first_day, last_day(o_orderdate)::DATE AS last_day
+            FROM orders""")
+
+
 def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish all gold tables and count what readers now see."""
     return quality.gold_row_counts(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -35,34 +36,91 @@ def malformed(bronze: DataFrame) -> DataFrame:
 
 
 PAGE = "struct<id:string,data:string,meta:struct<last_page:int>>"
+PLACE = ("pull_date", "endpoint", "locale")
+_BYTE = "coalesce(cast(conv(hex(substring({}, {} + 1, 1)), 16, 10) as int), 0)"
+
+
+def page_marks(bronze: DataFrame) -> DataFrame:
+    """Per pull, endpoint, locale and 32,768 page numbers: a bitmap of the pages stored, the number
+    announced, the highest number and the records. One scan and one parse; a task shuffles one row
+    for each of its places, whatever the number of pages."""
+    text, number = F.ltrim("payload"), F.col("page_number")
+    bare = F.when(text.startswith("["), text)
+    page = F.from_json(F.when(~text.startswith("["), text), PAGE)
+    one = F.coalesce(F.col("_page.data").startswith("{"), F.lit(False)) | (
+        F.col("_page.data").isNull() & F.col("_page.id").isNotNull())
+    # Numbers below 1 name no page: they are counted among the records only.
+    usable = F.when(number > 0, number)
+    return (bronze.select(*PLACE, "page_number", page.alias("_page"), bare.alias("_bare"))
+            .select(*PLACE, "page_number", F.bitmap_bucket_number(usable).alias("bucket"),
+                    F.bitmap_bit_position(usable).alias("_bit"),
+                    F.col("_page.meta.last_page").alias("_last"),
+                    F.when(one, 1).otherwise(F.coalesce(F.json_array_length(
+                        F.coalesce("_bare", "_page.data")), F.lit(0))).alias("_records"))
+            .groupBy(*PLACE, "bucket").agg(
+                F.bitmap_construct_agg("_bit").alias("bits"), F.max("_last").alias("last_page"),
+                F.max("page_number").alias("max_page"), F.sum("_records").alias("records")))
+
+
+def combine_marks(*marks: DataFrame) -> DataFrame:
+    """Marks of several loads. Pages marked twice count once; records are added up."""
+    everything = marks[0]
+    for other in marks[1:]:
+        everything = everything.unionByName(other)
+    return everything.groupBy(*PLACE, "bucket").agg(
+        F.bitmap_or_agg("bits").alias("bits"), F.max("last_page").alias("last_page"),
+        F.max("max_page").alias("max_page"), F.sum("records").alias("records"))
+
+
+def audit_of(marks: DataFrame) -> DataFrame:
+    """Marks as one row for each pull, endpoint and locale, with the missing pages as ranges."""
+    places = marks.groupBy(*PLACE).agg(
+        F.coalesce(F.max("last_page"), F.lit(1)).alias("pages_announced"),
+        F.max("max_page").alias("max_page"), F.sum("records").alias("records"),
+        F.array_sort(F.collect_list(F.when(F.col("bucket").isNotNull(), F.struct(
+            "bucket", "bits")))).alias("maps"))
+    # Of each bitmap the part up to the last page announced.
+    cut = F.expr("""transform(maps, m -> struct(m.bucket AS bucket, m.bits AS bits, cast(greatest(0,
+        least(32768, pages_announced - (m.bucket - 1) * 32768)) AS int) AS upto))""")
+    stored = F.expr(f"""aggregate(cut, 0L, (n, c) -> n
+        + bitmap_count(substring(c.bits, 1, cast(c.upto div 8 AS int)))
+        + bit_count({_BYTE.format("c.bits", "cast(c.upto div 8 AS int)")}
+                    & (shiftleft(1, c.upto % 8) - 1)))""")
+    present = f"""flatten(transform(cut, c -> flatten(transform(
+        filter(sequence(0, 4095), i -> hex(substring(c.bits, i + 1, 1)) <> '00'),
+        i -> transform(filter(sequence(0, 7), b -> i * 8 + b < c.upto AND
+                              getbit({_BYTE.format("c.bits", "i")}, b) = 1),
+                       b -> cast((c.bucket - 1) * 32768 + i * 8 + b + 1 AS int))))))"""
+    ends = F.expr(f"concat(array(0), {present}, array(pages_announced + 1))")
+    holes = F.expr("""filter(transform(sequence(1, size(ends) - 1), i -> struct(
+        ends[i - 1] + 1 AS first, ends[i] - 1 AS last)), h -> h.first <= h.last)""")
+    complete = F.col("pages_stored") >= F.col("pages_announced")
+    return (places.withColumn("cut", cut).withColumn("pages_stored", stored)
+            .withColumn("ends", F.when(~complete, ends)).select(
+        *PLACE, "pages_stored", "pages_announced", "max_page", "records",
+        complete.alias("is_complete"),
+        F.coalesce(holes, F.expr("cast(array() AS array<struct<first: int, last: int>>)"))
+        .alias("missing")))
 
 
 def page_audit(bronze: DataFrame) -> DataFrame:
     """Per pull, endpoint and locale: distinct pages stored of those announced, the highest page
-    number and the records of all responses.
+    number, the records of all responses, and the missing pages as ranges.
 
     A response without ``meta.last_page`` announces one page; an empty page counts as stored, a
-    second response of a page does not. Records are counted in all accepted shapes: a list or one
-    object under ``data``, a bare list, a bare object with an id.
+    second response of a page does not. A null pull, endpoint or locale is a place like any other,
+    a page without a number counts among the records only. Records are counted in all accepted
+    shapes: a list or one object under ``data``, a bare list, a bare object with an id.
     """
-    place, text = ["pull_date", "endpoint", "locale"], F.ltrim("payload")
-    bare = F.when(text.startswith("["), text)
-    page = F.from_json(F.when(~text.startswith("["), text), PAGE)
-    one = F.coalesce(F.col("_page.data").startswith("{"), F.lit(False)) | (
-        F.col("_page.data").isNull() & F.col("_page.id").isNotNull())
-    pages = (bronze.select(*place, "page_number", page.alias("_page"), bare.alias("_bare"))
-             .select(*place, "page_number", F.col("_page.meta.last_page").alias("_last"),
-                     F.when(one, 1).otherwise(F.coalesce(F.json_array_length(
-                         F.coalesce("_bare", "_page.data")), F.lit(0))).alias("_records"))
-             .groupBy(*place, "page_number").agg(F.max("_last").alias("_last"),
-                                                 F.sum("_records").alias("_records")))
-    announced = pages.groupBy(*place).agg(
-        F.coalesce(F.max("_last"), F.lit(1)).alias("pages_announced"))
-    return (pages.join(announced, place).groupBy(*place, "pages_announced").agg(
-        F.count_if(F.col("page_number").between(1, F.col("pages_announced"))).alias("pages_stored"),
-        F.max("page_number").alias("max_page"), F.sum("_records").alias("records"))
-        .select(*place, "pages_stored", "pages_announced", "max_page", "records",
-                (F.col("pages_stored") >= F.col("pages_announced")).alias("is_complete")))
+    return audit_of(page_marks(bronze))
+
+
+def newest_complete_pull(audit: DataFrame, endpoints: Sequence[str]) -> Column:
+    """The latest pull in which everything audited of these endpoints is complete, as a scalar
+    subquery: null if there is none."""
+    pulls = audit.filter(F.col("endpoint").isin(*endpoints)).groupBy("pull_date").agg(
+        F.bool_and("is_complete").alias("whole"))
+    return pulls.filter("whole").agg(F.max("pull_date")).scalar()
 
 
 def summary(bronze: DataFrame) -> DataFrame:

@@ -87,7 +87,8 @@ def published(state: DataFrame, newest_pull: Column | None = None) -> DataFrame:
     """State rows as a silver table.
 
     Without ``newest_pull`` every key stays active, as in the published tables. With it, a
-    key is active only if it was seen in that pull; its last seen date is kept.
+    key is active only if it was seen in that pull or a later one; its last seen date is kept.
+    A null pull leaves every key active.
     """
     values = []
     for name in state.columns:
@@ -99,7 +100,7 @@ def published(state: DataFrame, newest_pull: Column | None = None) -> DataFrame:
             if name not in {FIRST, LAST, INGESTED} and not name.startswith(_VERSION)]
     stamps = [name for name in state.columns if name == INGESTED]
     active = F.lit(1) if newest_pull is None else F.when(
-        F.col(LAST) == newest_pull, 1).otherwise(0)
+        F.col(LAST) < newest_pull, 0).otherwise(1)
     return state.select(*keys, *values, FIRST, LAST, active.alias(ACTIVE), *stamps)
 
 

@@ -135,13 +135,14 @@ def allergen_heatmap(cat: Catalogue, day: date | str, weeks: list[str] | None =
     """
     density = cat.allergen_density.filter(
         F.col("allergen_name").isNotNull() & (F.col(WEEK) <= as_date(day)))
-    if rows is not None:
-        recent = density.orderBy(F.desc(WEEK), "allergen_name", "allergen_id").limit(rows)
+    if rows is None:  # a few weeks, which then stand in the plan as literals
+        latest = density.select(WEEK).distinct().orderBy(F.desc(WEEK)).limit(n_weeks).collect()
+        recent = density.filter(F.col(WEEK).isin([row[0] for row in latest]))
+        found = sorted(row[0].isoformat() for row in latest)
     else:
-        latest = density.select(WEEK).distinct().orderBy(F.desc(WEEK)).limit(n_weeks)
-        recent = density.join(latest, WEEK, "left_semi")
+        recent = density.orderBy(F.desc(WEEK), "allergen_name", "allergen_id").limit(rows)
+        found = sorted(row[0].isoformat() for row in recent.select(WEEK).distinct().collect())
     cells = recent.withColumn("_week", F.date_format(WEEK, "yyyy-MM-dd"))
-    found = sorted(row[0] for row in cells.select("_week").distinct().collect())  # a few weeks
     if weeks is None:
         weeks = found
     elif set(found) - set(weeks):

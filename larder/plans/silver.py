@@ -8,12 +8,14 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.operators import bronze as raw
 from larder.operators import merge
 from larder.operators.flatten import ORDER, silver_observations
 from larder.schemas import SILVER, TABLES
 from larder.session import remove, work_dir
-from larder.sources.published import PublishedTable
+from larder.sources.published import Load, PublishedTable
 
+AUDIT = "_pages"  # the marks of an audited warehouse, beside its tables
 WRITERS = 4  # tables written at the same time
 DELTAS = 8  # deltas after which a table's state is written whole again
 
@@ -34,13 +36,19 @@ def fold_bronze(bronze: DataFrame, tables: Iterable[str] = SILVER,
             for name, rows in silver_observations(bronze, tables, stage).items()}
 
 
-def append_state(store: PublishedTable, state: DataFrame, source: str | None = None,
-                 batch: int | None = None) -> None:
+#: The endpoints whose pages a table's rows come from; the others come from one of their name.
+SOURCES = {"recipes": ("menus", "recipes"), "recipe_ingredients": ("menus", "recipes"),
+           "menu_recipes": ("menus",),
+           **{f"recipe_{kind}": ("recipes",) for kind in ("allergens", "tags", "labels")}}
+
+
+def append_state(store: PublishedTable, state: DataFrame, load: Load | None = None,
+                 combine: Callable[..., DataFrame] = merge.combine) -> None:
     """Add state rows as a delta, which costs what the batch costs. Every :data:`DELTAS` loads the
     state is written whole and what that replaces is deleted."""
-    store.publish(state, base=not store.commits(), source=source, batch=batch)
+    store.publish(state, base=not store.commits(), load=load)
     if len(store.parts()) > DELTAS:
-        store.publish(merge.combine(*store.parts()))
+        store.publish(combine(*store.parts()))
         store.expire()
 
 
@@ -48,11 +56,16 @@ class Warehouse:
     """Silver state tables below one folder.
 
     With ``deactivate`` a key that the newest pull of its table lacks is inactive; without it
-    every key stays active, as in the published tables.
+    every key stays active, as in the published tables. With ``audited`` the warehouse keeps marks
+    of the well-formed pages of every load, and only a pull of which no page is missing (in any
+    locale of the table's endpoints) deactivates: an aborted pull may add keys and dates, but
+    what it lacks stays as it was. All loads of an audited warehouse must be made with it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, deactivate: bool = False):
+    def __init__(self, spark: SparkSession, path: str, deactivate: bool = False,
+                 audited: bool = False):
         self.spark, self.path, self.deactivate = spark, path.rstrip("/"), deactivate
+        self.audited = audited
 
     def store(self, name: str) -> PublishedTable:
         return PublishedTable(self.spark, f"{self.path}/{name}")
@@ -81,21 +94,40 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=WRITERS) as pool:
             list(pool.map(publish, tables))
 
+    def audit(self) -> DataFrame:
+        """The page audit of all loads; ``is_complete`` and ``missing`` report aborted pulls."""
+        return raw.audit_of(raw.combine_marks(*self.store(AUDIT).parts()))
+
     def rebuild(self, bronze: DataFrame, tables: tuple[str, ...] = SILVER) -> None:
         """Recompute tables from all of bronze."""
+        if self.audited:
+            store = self.store(AUDIT)
+            store.publish(raw.page_marks(raw.well_formed(bronze)))
+            store.expire()
         self._load(bronze, tables, lambda store, state: (store.publish(state), store.expire()))
 
     def append(self, new_pulls: DataFrame, tables: tuple[str, ...] = SILVER,
-               source: str | None = None, batch: int | None = None) -> None:
-        """Merge new pages. Pages merged before, or pulls older than the table, do no harm; with
-        ``source`` and ``batch`` a load that is already committed is not written again."""
-        self._load(new_pulls, tables, lambda store, state: append_state(store, state, source,
-                                                                        batch))
+               load: Load | None = None) -> None:
+        """Merge new pages. Pages merged before, or pulls older than the table, do no harm. Tables
+        that have the ``load`` already are left out, and if all have it nothing is read."""
+        if self.audited:
+            store = self.store(AUDIT)
+            if load is None or not store.has(load):
+                append_state(store, raw.page_marks(raw.well_formed(new_pulls)), load,
+                             raw.combine_marks)
+        if load is not None:
+            tables = tuple(name for name in tables if not self.store(name).has(load))
+        if tables:
+            self._load(new_pulls, tables,
+                       lambda store, state: append_state(store, state, load))
 
     def table(self, name: str, newest_pull: Column | None = None) -> DataFrame:
         """A silver table; with ``newest_pull`` keys missing from that pull are inactive. A
-        deactivating warehouse takes the newest pull that the table itself has seen."""
+        deactivating warehouse takes the newest pull that the table itself has seen, an audited one
+        the newest of its endpoints that is complete."""
         state = self.state(name)
         if newest_pull is None and self.deactivate:
-            newest_pull = state.agg(F.max(merge.LAST)).scalar()
+            newest_pull = raw.newest_complete_pull(
+                self.audit(), SOURCES.get(name, (name,))) if self.audited else state.agg(
+                F.max(merge.LAST)).scalar()
         return merge.published(state, newest_pull)

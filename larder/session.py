@@ -52,7 +52,24 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder of a store holds; nothing if it is not there."""
+    store, target = _located(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(target)] if store.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, which must not be there."""
+    store, target = _located(spark, path)
+    store.create(target, False).close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the store that ``path`` is in, if it is there."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    store, target = _located(spark, path)
+    store.delete(target, True)

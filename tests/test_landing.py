@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from larder.plans.silver import Warehouse
 from larder.session import work_dir
 from larder.sources import landing
-from larder.sources.published import PublishedTable
+from larder.sources.published import Load, PublishedTable
 from larder.streaming import incremental
 from tests.helpers import pages, table
 
@@ -59,8 +59,8 @@ def test_versions_switch_and_repeat(spark):
     store.publish(spark.range(1))
     store.publish(store.read().union(spark.range(5, 7)))  # reads what it replaces
     assert table(store.read()) == [(0,), (5,), (6,)]
-    store.publish(spark.range(9, 10), source="s", batch=0)
-    store.publish(spark.range(3), source="s", batch=0)  # committed before: not written again
+    store.publish(spark.range(9, 10), load=Load("s", 0))
+    store.publish(spark.range(3), load=Load("s", 0))  # committed before: not written again
     assert table(store.read()) == [(9,)]
     assert [c.version for c in store.commits()] == [0, 1, 2]
     store.expire()
@@ -69,10 +69,10 @@ def test_versions_switch_and_repeat(spark):
         spark.read.parquet(f"{store.path}/version=0")
 
 
-def test_only_a_missing_commit_list_means_nothing_is_stored(spark):
+def test_only_a_missing_log_means_nothing_is_stored(spark):
     store = PublishedTable(spark, work_dir(spark, "table"))
     assert store.read() is None
-    spark.createDataFrame([("x",)], "version string").write.parquet(f"{store.path}/commits")
+    spark.createDataFrame([("x",)], "version string").write.parquet(f"{store.path}/log")
     with pytest.raises(Exception):
         store.read()
 
@@ -121,10 +121,10 @@ def test_stream_equals_rebuild_and_is_safe_to_rerun(spark):
 
 def test_replayed_batch_changes_nothing(spark):
     house = Warehouse(spark, work_dir(spark, "replay"))
-    house.append(pages(spark, WEEKS[0]), TABLES, "stream", 0)
-    house.append(pages(spark, WEEKS[1]), TABLES, "stream", 1)
+    house.append(pages(spark, WEEKS[0]), TABLES, Load("stream", 0))
+    house.append(pages(spark, WEEKS[1]), TABLES, Load("stream", 1))
     before = table(house.table("recipes"))
-    house.append(pages(spark, WEEKS[1]), TABLES, "stream", 1)
+    house.append(pages(spark, WEEKS[1]), TABLES, Load("stream", 1))
     assert table(house.table("recipes")) == before
     assert house.store("recipes").current_version() == 1
 

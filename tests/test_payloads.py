@@ -55,6 +55,39 @@ def test_page_audit_sees_holes_and_counts_every_shape(spark):
         ("tags", 1, 1, 1, 0, True)]
 
 
+def test_page_audit_keeps_null_locales_and_lists_what_is_missing(spark):
+    rows = pages(spark, *(("2026-02-03", "menus", menu_page({"id": n}, last_page=70_000), n)
+                          for n in (1, 2, 5, 8, 9, 32_768, 32_769, 69_999, 80_000, 0)),
+                 ("2026-02-03", "menus", "{damaged", None))
+    rows = rows.withColumn("locale", F.lit(None).cast("string")).unionByName(
+        pages(spark, ("2026-02-03", "menus", menu_page({"id": 1}, last_page=2), 2)))
+    found = {r.locale: r for r in bronze.page_audit(rows).collect()}
+    assert set(found) == {None, "en-GB"}
+    row = found[None]
+    assert (row.pages_stored, row.pages_announced, row.max_page, row.records) == (
+        8, 70_000, 80_000, 10)
+    assert [tuple(r) for r in row.missing] == [
+        (3, 4), (6, 7), (10, 32_767), (32_770, 69_998), (70_000, 70_000)]
+    assert [tuple(r) for r in found["en-GB"].missing] == [(1, 1)]
+
+
+def test_page_audit_scans_and_parses_once(spark, tmp_path):
+    pages(spark, ("2026-02-03", "menus", menu_page({"id": 1}))).write.parquet(f"{tmp_path}/b")
+    audit = bronze.page_audit(spark.read.parquet(f"{tmp_path}/b"))
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert plan.count("from_json") + plan.count("jsontostructs") <= 1
+
+
+def test_marks_of_loads_add_up(spark):
+    """In any split and with any load twice, the audit of the marks is that of all pages."""
+    rows = [("2026-02-03", "menus", menu_page({"id": n}, last_page=40), n) for n in range(1, 40, 3)]
+    parts = [bronze.page_marks(pages(spark, *rows[a::3])) for a in range(3)]
+    columns = ("pages_stored", "pages_announced", "max_page", "is_complete", "missing")
+    assert table(bronze.audit_of(bronze.combine_marks(*parts, parts[0])), *columns) == table(
+        bronze.page_audit(pages(spark, *rows)), *columns)
+
+
 def test_window_keeps_unreadable_starts(spark):
     rows = spark.createDataFrame([("2026-02-07",), ("2026-03-07",), (None,), ("2026/01/15",)],
                                  "start string")

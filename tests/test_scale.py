@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from larder.functions.ranking import number_within
 from larder.operators import gold, merge
+from larder.session import work_dir
 from larder.sources.star import StarMenus, read_table
 from tests.helpers import table
 
@@ -122,13 +123,26 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
 
 
 def test_ranking_never_gathers_a_group(spark):
-    """The windows of a ranking are per cell or over cell counts, not per week."""
+    """The windows of a ranking are per range or over counts of ranges, not per week."""
     rows = spark.range(1000).select(F.lit("w").alias("g"), F.col("id").alias("k"),
                                     (F.col("id") % 7).alias("n"))
     plan = plan_of(number_within(rows, ["g"], "n", "k", "place"))
     over_rows = [line for line in plan.splitlines() if "row_number()" in line]
-    assert over_rows and all("windowspecdefinition(g" not in line or "_slot" in line
-                             for line in over_rows)
+    assert over_rows and all("windowspecdefinition(_part" in line for line in over_rows)
+
+
+def test_ranked_ids_with_a_common_prefix_spread_over_tasks(spark, monkeypatch):
+    """One week, one count, ids that differ in their last digits only."""
+    homes = []
+    monkeypatch.setattr("larder.functions.ranking.work_dir",
+                        lambda *_: homes.append(work_dir(*_)) or homes[-1])
+    rows = spark.range(20_000).select(
+        F.lit("w").alias("g"), F.lit(1).alias("n"),
+        F.format_string("catalogue-item-%08d", "id").alias("k"))
+    ranked = number_within(rows, ["g"], "n", "k", "place")
+    assert ranked.filter("int(right(k, 8)) + 1 <> place").count() == 0
+    shares = spark.read.parquet(homes[0]).groupBy("_part").count().collect()
+    assert len(shares) == 4 and max(r["count"] for r in shares) < 10_000
 
 
 def test_results_do_not_depend_on_partitioning(spark, sf_dir):
