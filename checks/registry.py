@@ -60,5 +60,6 @@ def on_catalogue(name: str, build: Callable[[Catalogue], DataFrame],
 
 def on_silver(name: str, build: Callable[[Catalogue], DataFrame], sql: str | None = None,
               compat: bool = False) -> None:
-    """Register a query that plans its gold tables from silver."""
-    register(name, lambda spark, sf_dir: build(catalogue(spark, sf_dir, compat)), sql)
+    """Register a query that plans its gold tables from silver, anew each time: a ranking writes its
+    rows down when it is planned, which is part of the query."""
+    register(name, lambda spark, sf_dir: build(catalogue.__wrapped__(spark, sf_dir, compat)), sql)

@@ -35,28 +35,34 @@ def malformed(bronze: DataFrame) -> DataFrame:
     return bronze.filter(F.col("payload").isNull() | ~is_json(F.col("payload")))
 
 
-PAGE = "struct<id:string,data:string,meta:struct<last_page:int>>"
+PAGE = "struct<id:string,data:array<struct<id:string>>,meta:struct<last_page:int>>"
 PLACE = ("pull_date", "endpoint", "locale")
 _BYTE = "coalesce(cast(conv(hex(substring({}, {} + 1, 1)), 16, 10) as int), 0)"
 
 
 def page_marks(bronze: DataFrame) -> DataFrame:
     """Per pull, endpoint, locale and 32,768 page numbers: a bitmap of the pages stored, the number
-    announced, the highest number and the records. One scan and one parse; a task shuffles one row
-    for each of its places, whatever the number of pages."""
-    text, number = F.ltrim("payload"), F.col("page_number")
-    bare = F.when(text.startswith("["), text)
+    announced, the highest number and the records. One scan, and one parse of pages that list
+    their items under ``data``; what is shuffled is a small row for each page, then the bitmaps."""
+    text = F.ltrim("payload")
     page = F.from_json(F.when(~text.startswith("["), text), PAGE)
-    one = F.coalesce(F.col("_page.data").startswith("{"), F.lit(False)) | (
-        F.col("_page.data").isNull() & F.col("_page.id").isNotNull())
+    # Evaluated for the other shapes only: one object, a list of other things, a bare object.
+    held = F.get_json_object("_text", "$.data")
+    other = F.when(F.col("_text").startswith("["), F.json_array_length("_text")).when(
+        held.startswith("{") | (held.isNull() & F.col("_page.id").isNotNull()), 1).otherwise(
+        F.json_array_length(held))
     # Numbers below 1 name no page: they are counted among the records only.
+    number = F.col("page_number")
     usable = F.when(number > 0, number)
-    return (bronze.select(*PLACE, "page_number", page.alias("_page"), bare.alias("_bare"))
-            .select(*PLACE, "page_number", F.bitmap_bucket_number(usable).alias("bucket"),
-                    F.bitmap_bit_position(usable).alias("_bit"),
-                    F.col("_page.meta.last_page").alias("_last"),
-                    F.when(one, 1).otherwise(F.coalesce(F.json_array_length(
-                        F.coalesce("_bare", "_page.data")), F.lit(0))).alias("_records"))
+    return (bronze.select(*PLACE, "page_number", page.alias("_page"), text.alias("_text"))
+            .select(*PLACE, "page_number", F.col("_page.meta.last_page").alias("_last"),
+                    F.when(F.col("_page.data").isNotNull(), F.size("_page.data")).otherwise(
+                        F.coalesce(other, F.lit(0))).alias("_records"))
+            # Bitmaps are aggregated by sorting, so pages are counted by hashing first.
+            .groupBy(*PLACE, "page_number").agg(
+                F.max("_last").alias("_last"), F.sum("_records").alias("_records"))
+            .withColumn("bucket", F.bitmap_bucket_number(usable))
+            .withColumn("_bit", F.bitmap_bit_position(usable))
             .groupBy(*PLACE, "bucket").agg(
                 F.bitmap_construct_agg("_bit").alias("bits"), F.max("_last").alias("last_page"),
                 F.max("page_number").alias("max_page"), F.sum("_records").alias("records")))
