@@ -14,11 +14,11 @@ nodes which windows are the same:
    Prefixes with one leaf left have no more repeats and end here.
 3. *Subtrees.* For the other leaves the words around them are fetched. A prefix with at most
    ``group`` leaves is one group, and its tree is built from the prefix down, word by word; a
-   larger one is split by longer prefixes, up to whole windows, where a group is a plain count
-   of equal windows that combines before the shuffle. No group outgrows a task.
+   larger one goes to prefixes of whole windows at once, where a group is the earliest of equal
+   windows by a 128-bit hash, found by an aggregate that combines before the shuffle.
 
-Codes only propose: in step 3 words are compared as they stand, in step 2 the two 64-bit codes
-(of the prefix and of the context) must both agree.
+Codes only propose: in a subtree words are compared as they stand; in step 2 the two 64-bit codes
+(of the prefix and of the context) must both agree, and for hot prefixes the hash of the window.
 
 Defined results: null and empty texts have no words; texts under ``length`` words have no window
 and stay whole. Documents are ordered by (id, code of the text), null ids first; rows equal in both
@@ -104,12 +104,6 @@ def find_anchors(length: int, prefix: int):
     return find
 
 
-def weights(n: int) -> tuple[np.ndarray, np.ndarray]:
-    from larder.llm.word_arrays import _INVERSE, powers
-
-    return powers(BASE, n), powers(_INVERSE, n + 1)
-
-
 def combined(held: list[tuple]) -> pa.RecordBatch:
     """The earliest anchor of each leaf, and the others, which repeat it (``local``)."""
     h, c, doc, tag, at, lo, hi = map(np.concatenate, zip(*held))
@@ -308,7 +302,6 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX
     deal = partitions(spark)
     dealt = texts.mapInArrow(find_anchors(length, prefix), ANCHOR)
     # Local repeats need no partner: they only pass through, spread over all tasks.
-    # Local repeats need no partner: they only pass through, spread over all tasks.
     order = ["local", "h", "c", "doc", "tag", "at"]
     found = stored(dealt.repartition(deal, F.when(F.col("local"), F.xxhash64("doc", "at"))
                                      .otherwise(F.col("h"))).sortWithinPartitions(*order)
