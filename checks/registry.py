@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.model import over_model
 from larder.plans import Catalogue
+from larder.schemas import SILVER
 from larder.session import work_dir
 from larder.sources.star import AS_OF, StarMenus
 
@@ -62,4 +63,9 @@ def on_silver(name: str, build: Callable[[Catalogue], DataFrame], sql: str | Non
               compat: bool = False) -> None:
     """Register a query that plans its gold tables from silver, anew each time: a ranking writes its
     rows down when it is planned, which is part of the query."""
-    register(name, lambda spark, sf_dir: build(catalogue.__wrapped__(spark, sf_dir, compat)), sql)
+    def planned(spark: SparkSession, sf_dir: str) -> DataFrame:
+        known = catalogue(spark, sf_dir, compat)
+        silver = {name: (lambda n=name: known[n]) for name in SILVER}
+        return build(Catalogue(silver, known.as_of, known.locale, compat))
+
+    register(name, planned, sql)
