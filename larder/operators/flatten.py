@@ -24,6 +24,8 @@ ORDER = ("endpoint", "ingestion_timestamp", "page_number", "seq")
 
 # Payload key -> column, for keys that are stored under another name.
 RENAMED = {"servingSize": "serving_size", "imagePath": "image_url", "iconPath": "icon_url"}
+#: How a page begins that is a bare list, and one that holds a single object under ``data``.
+BARE_LIST, ONE_UNDER_DATA = r"^\s*\[", r'^\s*\{\s*"data"\s*:\s*\{'
 REFERENCE_ENDPOINTS = ("ingredients", "allergens", "tags", "labels")
 
 
@@ -64,14 +66,29 @@ def menu_recipe_documents(menus: DataFrame) -> DataFrame:
 def recipe_documents(bronze: DataFrame) -> DataFrame:
     """One row per recipe of the ``recipes`` detail pages.
 
-    Accepts ``{data: [...]}``, ``{data: {...}}``, ``[...]`` and a bare recipe: the ``data``
-    text if there is one, else the payload, is read as an array, and a single object read
-    that way becomes a one-element array.
+    Accepts ``{data: [...]}``, ``{data: {...}}``, ``[...]`` and a bare recipe. How a payload begins
+    tells its shape, so each is parsed once, by the schema of that shape. Only an object with a
+    ``data`` key after other keys that holds no list is parsed again.
     """
-    body = F.coalesce(F.get_json_object("payload", "$.data"), F.col("payload"))
-    parsed = _of(bronze, "recipes").select(
-        *LINEAGE, F.from_json(body, T.ArrayType(RECIPE_DOC)).alias("_recipes"))
-    return _items(parsed, F.col("_recipes"), *LINEAGE, seq=F.array().cast("array<int>"),
+    text = F.col("payload")
+    is_list, is_one = text.rlike(BARE_LIST), text.rlike(ONE_UNDER_DATA)
+    listed = T.ArrayType(RECIPE_DOC)
+    # A bare recipe is read together with a list under ``data``: only one of them is there.
+    either = T.StructType([T.StructField("data", listed), *RECIPE_DOC.fields])
+    shaped = F.struct(
+        F.when(is_list, F.from_json(text, listed)).alias("bare_list"),
+        F.when(is_one, F.from_json(
+            text, T.StructType([T.StructField("data", RECIPE_DOC)]))["data"]).alias("one"),
+        F.when(~is_list & ~is_one, F.from_json(text, either)).alias("either"),
+        F.when(~is_list & ~is_one & text.rlike(r'"data"\s*:\s*\{'), text).alias("late"))
+    parsed = _of(bronze, "recipes").select(*LINEAGE, shaped.alias("_page"))
+    page, found = F.col("_page"), F.col("_page.either")
+    bare = F.struct(*(found[name].alias(name) for name in RECIPE_DOC.fieldNames()))
+    late = F.from_json(F.get_json_object(page["late"], "$.data"), listed)
+    recipes = F.coalesce(page["bare_list"], F.when(page["one"].isNotNull(), F.array(page["one"])),
+                         found["data"], F.when(page["late"].isNotNull(), late),
+                         F.when(found.isNotNull(), F.array(bare)))
+    return _items(parsed, recipes, *LINEAGE, seq=F.array().cast("array<int>"),
                   name="recipe").drop("_pos")
 
 

@@ -105,6 +105,27 @@ def test_all_detail_shapes_are_read(spark):
         (n, "7", "Stew", 2.0, "35", "2", "Irish", "/s.png") for n in range(4)]
 
 
+def test_detail_shapes_with_space_and_late_keys(spark):
+    texts = ('\n [{"id": 1}, {"id": 2}]', ' {\n "data" : {"id": 3}}', '{"meta": {}, "data": {"id": 4}}',
+             '{"id": 5, "data": {"id": 6}}', '{"id": 7, "data": null}', '{"id": 8, "data": 3}',
+             '{"meta": {"last_page": 2}, "data": [{"id": 9}, {"id": 10}]}',
+             '{"id": 11, "tags": [{"id": "t", "data": {"id": 12}}]}')
+    rows = pages(spark, *(("2026-02-03", "recipes", text, n) for n, text in enumerate(texts)))
+    found = flatten.recipe_documents(rows)
+    assert table(found, "page_number", "seq", "recipe.id") == [
+        (0, [0], "1"), (0, [1], "2"), (1, [0], "3"), (2, [0], "4"), (3, [0], "6"), (4, [0], "7"),
+        (5, [0], "8"), (6, [0], "9"), (6, [1], "10"), (7, [0], "11")]
+
+
+def test_detail_payloads_are_parsed_once(spark, tmp_path):
+    """Each shape has one parse of the payload; text under ``data`` is taken out of late ones only."""
+    pages(spark, ("2026-02-03", "recipes", "{}")).write.parquet(f"{tmp_path}/b")
+    details = flatten.recipe_rows(flatten.recipe_documents(spark.read.parquet(f"{tmp_path}/b")))
+    plan = details._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 4 and plan.count("get_json_object") == 1
+    assert "get_json_object(_page" in plan and plan.count("Relation") == 1
+
+
 def test_unusable_detail_payloads_give_no_rows_and_spare_the_others(spark):
     rows = pages(spark, *(("2026-02-03", "recipes", text) for text in (
         '{"data": 5}', '{"data": null}', '{"data": [{"name": "no id"}]}', "{", "[]",
