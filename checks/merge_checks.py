@@ -126,6 +126,19 @@ HISTORY = f"""
     JOIN ({CALENDAR}) ON d = last_seen_date"""
 
 register("scd2_history", versions, HISTORY)
+
+
+def late_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of every other pull, with the pulls between added afterwards."""
+    rows, days = daily(spark, sf_dir), seen(spark, sf_dir)
+    early = F.dayofmonth("pull_date") % 2 == 0
+    made = history.version_history(rows.filter(early), USER, ["event_type"],
+                                   pulls=days.filter(early))
+    return history.splice_history(made, rows.filter(~early), USER, ["event_type"],
+                                  days.filter(early), pulls=days.filter(~early))
+
+
+register("scd2_late_pulls", late_pulls, HISTORY)
 register(
     "scd2_history_changes_only",
     lambda spark, sf: versions(spark, sf, close_missing=False),

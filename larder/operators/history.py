@@ -61,6 +61,76 @@ def version_history(daily: DataFrame, keys: Sequence[str], attributes: Sequence[
                            F.when(F.col(TO).isNull(), 1).otherwise(0).alias("is_active"))
 
 
+def splice_history(history: DataFrame, daily: DataFrame, keys: Sequence[str],
+                   attributes: Sequence[str], known: DataFrame, pull: str = PULL,
+                   pulls: DataFrame | None = None) -> DataFrame:
+    """A closing history (``close_missing``) with pulls added that may lie anywhere in time; equal to
+    the history of all pulls made anew.
+
+    ``known`` are rows with the pull dates the history was made of, ``daily`` the added rows (one per
+    key and pull), ``pulls`` rows with their pull dates (by default ``daily``; a pull without any row
+    closes all keys). A row for a key and date that the history has already replaces it.
+
+    Versions closed before the first added pull pass through. The others are cut only where
+    something is added, never spread over their pulls: at a new date, which a key lacks until it has
+    a row there, and at the dates of the key's own rows. Pieces and rows that follow each other
+    without a pull between and have the same values are then joined. A key's pieces are at most
+    its versions and twice the added pulls.
+
+    A history of changes only cannot be spliced: it does not tell when a key was seen inside a
+    version.
+    """
+    added = daily if pulls is None else pulls
+    dates = lambda rows: rows.agg(F.array_sort(F.collect_set(pull))).scalar()
+    after = lambda calendar, day: F.array_min(F.filter(calendar, lambda d: d > day))
+    before = lambda calendar, day: F.array_max(F.filter(calendar, lambda d: d < day))
+    closed = F.coalesce(F.col(TO) < added.agg(F.min(pull)).scalar(), F.lit(False))
+    told = daily.groupBy(*keys).agg(F.collect_set(pull).alias("_told"))
+
+    # Which dates cut a run of pulls [valid_from, last_seen_date], and what is left of it.
+    known_dates, run_start, run_end = F.col("_known"), F.col(FROM), F.col("last_seen_date")
+    fresh = F.filter(F.array_except("_added", "_known"), lambda d: d.between(run_start, run_end))
+    own = F.filter(F.coalesce("_told", F.array().cast("array<date>")),
+                   lambda d: d.between(run_start, run_end))
+    starts = F.concat(F.array(run_start),
+                      F.transform("_cuts", lambda d: after(known_dates, d)))
+    ends = F.concat(F.transform("_cuts", lambda d: before(known_dates, d)), F.array(run_end))
+    runs = (history.filter(~closed).join(told, list(keys), "left")
+            .withColumn("_known", dates(known)).withColumn("_added", dates(added))
+            .withColumn("_cuts", F.array_sort(F.array_union(fresh, own)))
+            .withColumn("_pieces", F.filter(
+                F.arrays_zip(starts.alias("start"), ends.alias("end")),
+                lambda piece: piece["start"] <= piece["end"]))
+            .select(*keys, *attributes, F.explode("_pieces").alias("_piece"))
+            .select(*keys, *attributes, F.col("_piece.start").alias("_start"),
+                    F.col("_piece.end").alias("_end")))
+    points = daily.select(*keys, *attributes, F.col(pull).alias("_start"),
+                          F.col(pull).alias("_end"))
+
+    timeline = Window.partitionBy(*keys).orderBy("_start")
+    values = F.struct(*attributes) if attributes else F.lit(1)
+    joins = values.eqNullSafe(F.lag(values).over(timeline)) & (
+        F.lag("_next").over(timeline) == F.col("_start"))
+    numbered = (runs.unionByName(points)
+                .withColumn("_known", dates(known)).withColumn("_added", dates(added))
+                .withColumn("_all", F.array_union("_known", "_added"))
+                .withColumn("_next", after(F.col("_all"), F.col("_end"))).drop("_all")
+                .withColumn("_joins", F.lag("_start").over(timeline).isNotNull() & joins)
+                .withColumn("_place", F.sum(F.when(F.col("_joins"), 0).otherwise(1))
+                            .over(timeline)))
+    spliced = numbered.groupBy(*keys, "_place", *attributes).agg(
+        F.min("_start").alias(FROM), F.max("_end").alias("last_seen_date"),
+        F.max_by("_next", "_end").alias(TO))
+    # Numbers go on from the versions that passed through.
+    passed = history.filter(closed)
+    base = passed.join(spliced.select(*keys).distinct(), list(keys), "left_semi").groupBy(
+        *keys).agg(F.max("version").alias("_base"))
+    renewed = spliced.join(base, list(keys), "left").withColumn(
+        "version", F.coalesce("_base", F.lit(0)) + F.col("_place")).withColumn(
+        "is_active", F.when(F.col(TO).isNull(), 1).otherwise(0))
+    return passed.unionByName(renewed.select(*passed.columns))
+
+
 def current_versions(history: DataFrame) -> DataFrame:
     """Open versions."""
     return history.filter(F.col("is_active") == 1)
