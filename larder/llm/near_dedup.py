@@ -4,8 +4,10 @@ A text is a sequence of ``k``-word runs, each labelled with how often it has occ
 each of ``bands`` hash functions the sketch keeps the ``picks`` labelled runs with the least hash,
 in text order; two texts share a band if they picked the same runs in the same order, so the
 chance falls with every edit and with every change of order. Texts that share a band are candidates;
-a pair is a link if a banded alignment of their run sequences matches M runs with
-M / (n1 + n2 - M) at least ``similarity``. Classes are the connected components of the links.
+a pair is a link if a banded alignment of their word sequences matches M words with
+M / (n1 + n2 - M) at least ``similarity``. Words are aligned and not runs, since one changed word
+takes ``k`` runs with it: texts of which every tenth word differs have hardly half of their runs in
+common, and are near copies all the same. Classes are the connected components of the links.
 
 Equal texts are one text from the start (by a 64-bit hash), however many copies there are. Candidates
 are decided in two steps. First each text of a bucket is compared with the bucket's hub: its least
@@ -13,10 +15,11 @@ text, then in ``rounds`` more rounds others, drawn anew for each bucket and roun
 bucket holds texts of different classes and new pairs are proposed. This joins most of what is to be
 joined. Then all pairs of a bucket that are still in different classes are decided: the members
 are dealt into slices of bounded size, and a task compares two slices at a time. Lengths and a
-parity bitmap of the runs rule out pairs that cannot be similar enough; the others are aligned,
+parity bitmap of the words rule out pairs that cannot be similar enough; the others are aligned,
 unless links found in the task have joined them. No candidate is left out, so a link is missed only
-if the two texts share no band (at ``similarity`` 0.8 about 1 in a million pairs with the defaults)
-and no chain of links joins them.
+if the two texts share no band and no chain of links joins them. Of texts with a share J of common
+runs that is (1 - J ** ``picks``) ** ``bands`` of the pairs: 0.1 % at 0.5, and 2 % at 0.38, the share
+that is left where every ninth word was changed, which is as far as ``similarity`` 0.8 goes.
 
 Defined results: null and empty texts are equal texts; a text of fewer than ``k`` words is one run;
 a class is named by its least document id (null ids count only if there is no other); repeated rows
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from larder.llm.common import slices, stored, text_of
 from larder.llm.word_arrays import mixed, portions, runs
 
-K, PICKS, BANDS, SIMILARITY, ROUNDS = 5, 3, 20, 0.8, 3
+K, PICKS, BANDS, SIMILARITY, ROUNDS = 5, 2, 24, 0.8, 3
 #: Members and bytes of word codes of a slice of a bucket, on average; bits of a parity bitmap.
 SLICE, SLICE_BYTES, MARK = 500, 4 << 20, 2048
 
@@ -109,7 +112,7 @@ def sketch(k: int, bands: int, picks: int):
 
 
 def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as 32-bit word codes, which is what an alignment of ``k``-word runs needs."""
+    """Texts as 32-bit word codes, which is what an alignment needs."""
     for batch in slices(batches):
         out = []
         for _, words in portions(batch["text"]):
@@ -119,7 +122,11 @@ def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["vid", "codes"])
 
 
-def matched_runs(a: np.ndarray, b: np.ndarray, band: int, block: int = 1024) -> int:
+def words_in(codes: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(codes.as_buffer(), np.uint32).astype(np.uint64)
+
+
+def matched_words(a: np.ndarray, b: np.ndarray, band: int, block: int = 1024) -> int:
     """Length of the longest common subsequence whose places differ by at most ``band`` (or a bit
     more). A row of the alignment is one whole number, a bit for each place of ``a`` in the
     window; the window moves along with ``b`` a block at a time, and what leaves it is final."""
@@ -149,7 +156,7 @@ def matched_runs(a: np.ndarray, b: np.ndarray, band: int, block: int = 1024) ->
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float) -> float:
-    """The aligned similarity of two run sequences, or 0.0 if it is under ``least``."""
+    """The aligned similarity of two word sequences, or 0.0 if it is under ``least``."""
     n, need = len(a) + len(b), least / (1 + least) * (len(a) + len(b))
     if min(len(a), len(b)) + 1e-9 < need:
         return 0.0
@@ -157,19 +164,16 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> float:
         return 0.0
     if not n:
         return 1.0
-    # Places of matched runs differ by the unmatched runs between, of which there are few.
-    m = matched_runs(a, b, int(n - 2 * need) + 1)
+    # Places of matched words differ by the unmatched words between, of which there are few.
+    m = matched_words(a, b, int(n - 2 * need) + 1)
     return m / (n - m) if m + 1e-9 >= need else 0.0
 
 
-def verify(k: int, least: float):
+def verify(least: float):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = []
-            for x, y in zip(batch["codes"], batch["hub_codes"]):
-                a, b = (text_runs(np.frombuffer(v.as_buffer(), np.uint32).astype(np.uint64), k)
-                        for v in (x, y))
-                found.append(similar(a, b, least))
+            found = [similar(words_in(x), words_in(y), least)
+                     for x, y in zip(batch["codes"], batch["hub_codes"])]
             yield pa.RecordBatch.from_arrays(
                 [batch["vid"], batch["hub"], pa.array(found, pa.float64())],
                 names=["vid", "hub", "similarity"])
@@ -179,22 +183,20 @@ def verify(k: int, least: float):
 # ---- pairs within buckets ----------------------------------------------------------------------
 
 
-def marked(k: int):
-    """Length of a run sequence, and for each of ``MARK`` bits whether an odd number of its labelled
-    runs falls there: two texts differ in at least as many runs as their bitmaps do in bits."""
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            count, bits = [], []
-            for v in batch["codes"]:
-                found = text_runs(np.frombuffer(v.as_buffer(), np.uint32).astype(np.uint64), k)
-                place = (labelled(found) % np.uint64(MARK)).astype(np.int64)
-                odd = (np.bincount(place, minlength=MARK) & 1).astype(np.uint8)
-                count.append(len(found))
-                bits.append(np.packbits(odd).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch["vid"], batch["keys"], pa.array(count, pa.int64()),
-                 pa.array(bits, pa.binary())], names=["vid", "keys", "runs", "mark"])
-    return marks
+def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of a text, and for each of ``MARK`` bits whether an odd number of its labelled words
+    falls there: two texts differ in at least as many words as their bitmaps do in bits."""
+    for batch in slices(batches):
+        count, bits = [], []
+        for codes in batch["codes"]:
+            found = words_in(codes)
+            place = (labelled(found) % np.uint64(MARK)).astype(np.int64)
+            odd = (np.bincount(place, minlength=MARK) & 1).astype(np.uint8)
+            count.append(len(found))
+            bits.append(np.packbits(odd).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch["vid"], batch["keys"], pa.array(count, pa.int64()),
+             pa.array(bits, pa.binary())], names=["vid", "keys", "words", "mark"])
 
 
 def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -224,7 +226,7 @@ def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def possible(table: pa.Table, least: float) -> dict[int, np.ndarray]:
     """By place of a row, the places of the rows that lengths and bitmaps do not rule out, where
     this bucket is the first one that the pair shares and their classes differ."""
-    label, runs_, own = (table[c].to_numpy() for c in ("label", "runs", "own"))
+    label, words, own = (table[c].to_numpy() for c in ("label", "words", "own"))
     keys = np.array(table["keys"].to_pylist(), np.int64)
     mark = np.frombuffer(b"".join(table["mark"].to_pylist()), np.uint64).reshape(len(keys), -1)
     key, i, j = (table[c][0].as_py() for c in ("key", "i", "j"))
@@ -234,12 +236,12 @@ def possible(table: pa.Table, least: float) -> dict[int, np.ndarray]:
     for at, u in enumerate(left):
         v = right if i < j else left[at + 1:]
         v = v[label[v] != label[u]]
-        need = least / (1 + least) * (runs_[v] + runs_[u])
-        v = v[np.minimum(runs_[v], runs_[u]) + 1e-9 >= need]
+        need = least / (1 + least) * (words[v] + words[u])
+        v = v[np.minimum(words[v], words[u]) + 1e-9 >= need]
         v = v[~(keys[v, :band] == keys[u, :band]).any(axis=1)]
         if not len(v):
             continue
-        both = runs_[v] + runs_[u]
+        both = words[v] + words[u]
         apart = np.bitwise_count(mark[v] ^ mark[u]).sum(axis=1, dtype=np.int64)
         v = v[apart <= both - 2 * least / (1 + least) * both + 1e-6]
         if len(v):
@@ -265,7 +267,7 @@ def proposed(least: float):
     return texts
 
 
-def decided(k: int, least: float):
+def decided(least: float):
     """The links among the proposed pairs; pairs that links have joined already are left."""
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in together(batches):
@@ -282,8 +284,7 @@ def decided(k: int, least: float):
 
             def found(v):
                 if v not in known:
-                    known[v] = text_runs(
-                        np.frombuffer(codes[v].as_buffer(), np.uint32).astype(np.uint64), k)
+                    known[v] = words_in(codes[v])
                 return known[v]
 
             out = []
@@ -301,7 +302,7 @@ def decided(k: int, least: float):
 
 
 def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, codes: DataFrame,
-              k: int, least: float) -> DataFrame:
+              least: float) -> DataFrame:
     """vid and hub of links between members of a bucket with different labels: together with the
     labels they give the classes of all links that any bucket has."""
     parts = ["key", "i", "j"]
@@ -312,9 +313,9 @@ def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, code
         .select("key"), "key"), "near-open")
     marks = stored(codes.join(open_.select("vid").distinct(), "vid", "left_semi").join(
         reps.select("vid", "keys"), "vid").select("vid", "codes", "keys").mapInArrow(
-            marked(k), "vid bigint, keys array<bigint>, runs bigint, mark binary"), "near-marks")
-    dealt = open_.join(marks.select("vid", "runs"), "vid").groupBy("key").agg(F.ceil(F.greatest(
-        F.count("*") / SLICE, F.sum("runs") * 4 / SLICE_BYTES)).cast("int").alias("n_slices"))
+            marked, "vid bigint, keys array<bigint>, words bigint, mark binary"), "near-marks")
+    dealt = open_.join(marks.select("vid", "words"), "vid").groupBy("key").agg(F.ceil(F.greatest(
+        F.count("*") / SLICE, F.sum("words") * 4 / SLICE_BYTES)).cast("int").alias("n_slices"))
     members = open_.join(dealt, "key").withColumn("n_slices", F.greatest("n_slices", F.lit(1)))\
         .withColumn("own", F.pmod(F.xxhash64("vid", "key"), "n_slices").cast("int")).withColumn(
             "other", F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1))).select(
@@ -322,11 +323,11 @@ def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, code
             "own", "vid", "label")
     kind = "key bigint, i int, j int, vid bigint, label bigint"
     pairs = stored(members.join(marks, "vid").repartition(*parts).sortWithinPartitions(*parts)
-                   .select(*parts, "own", "vid", "label", "keys", "runs", "mark").mapInArrow(
+                   .select(*parts, "own", "vid", "label", "keys", "words", "mark").mapInArrow(
                        proposed(least), f"{kind}, others array<bigint>"), "near-possible")
     return stored(pairs.join(codes, "vid").repartition(*parts).sortWithinPartitions(*parts)
                   .select(*parts, "vid", "label", "others", "codes").mapInArrow(
-                      decided(k, least), "vid bigint, hub bigint"), "near-links")
+                      decided(least), "vid bigint, hub bigint"), "near-links")
 
 
 # ---- classes -----------------------------------------------------------------------------------
@@ -398,7 +399,7 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
             pairs.join(codes, "vid").join(
                 codes.select(F.col("vid").alias("hub"), F.col("codes").alias("hub_codes")), "hub")
             .select("vid", "hub", "codes", "hub_codes").mapInArrow(
-                verify(k, similarity), "vid bigint, hub bigint, similarity double"),
+                verify(similarity), "vid bigint, hub bigint, similarity double"),
             "near-links")
         if judged.isEmpty():
             break
@@ -408,7 +409,7 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
         tested = pair if tested is None else tested.unionByName(pair)
         if not new.isEmpty():
             labels = components(links)
-    new = left_over(shared, labels, reps, codes, k, similarity)
+    new = left_over(shared, labels, reps, codes, similarity)
     if not new.isEmpty():
         labels = components(new if links is None else links.unionByName(new))
     if labels is None:

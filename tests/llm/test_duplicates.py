@@ -139,19 +139,14 @@ def test_alignment_equals_brute_force():
         b = list(a)
         for _ in range(pick.randrange(6)):
             b[pick.randrange(len(b)):pick.randrange(len(b)) + 1] = [pick.randrange(6)]
-        got = near_dedup.matched_runs(np.array(a, np.uint64), np.array(b, np.uint64), 200, 16)
+        got = near_dedup.matched_words(np.array(a, np.uint64), np.array(b, np.uint64), 200, 16)
         assert got == common_subsequence(a, b)
-        narrow = near_dedup.matched_runs(np.array(a, np.uint64), np.array(b, np.uint64), 30, 8)
+        narrow = near_dedup.matched_words(np.array(a, np.uint64), np.array(b, np.uint64), 30, 8)
         assert narrow <= got
 
 
-def runs_of(text, k=5):
-    words = word_list(text)
-    return [tuple(words[i:i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
-
-
 def brute_classes(rows, least=0.8):
-    runs = [runs_of(t) for _, t in rows]
+    runs = [word_list(t) for _, t in rows]
     up = list(range(len(rows)))
 
     def root(i):
@@ -239,7 +234,7 @@ def starred_rows():
         star = [" ".join(original)]
         for _ in range(size):
             words = list(original)
-            for at in pick.sample(range(5, 195), 4):
+            for at in pick.sample(range(5, 195), 12):
                 words[at] = f"edit{pick.randrange(10 ** 9)}"
             star.append(" ".join(words))
         pick.shuffle(star)
@@ -248,8 +243,8 @@ def starred_rows():
 
 
 def exact_classes(rows, least=0.8):
-    """Like brute_classes; pairs with too few runs in common, counted, are not aligned."""
-    runs = [runs_of(t) for _, t in rows]
+    """Like brute_classes; pairs with too few words in common, counted, are not aligned."""
+    runs = [word_list(t) for _, t in rows]
     counts = [Counter(r) for r in runs]
     up = list(range(len(rows)))
 
@@ -282,6 +277,24 @@ def test_stars_equal_brute_force(spark, size, monkeypatch):
     assert {r.doc_id: r.class_id for r in near_dedup.classified(docs).collect()} == want
 
 
+@pytest.mark.parametrize("words, edits", [(60, 2), (80, 2), (150, 5), (300, 8), (1000, 40)])
+def test_near_copies_are_found(spark, words, edits):
+    """Of copies with single words changed, dropped and put in, nine of ten or more share the class
+    of their original, and no two originals do."""
+    pick = random.Random(words)
+    rows = []
+    for i in range(0, 80, 2):
+        text = word_list(prose(pick, words, 9000))
+        copy = list(text)
+        for at in sorted(pick.sample(range(len(copy)), edits), reverse=True):
+            copy[at:at + pick.randrange(2)] = [f"new{pick.randrange(99)}"] * pick.randrange(2)
+        rows += [(i, " ".join(text)), (i + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in near_dedup.classified(docs).collect()}
+    assert all(found[i] == i for i, _ in rows[::2])
+    assert sum(found[i + 1] == i for i, _ in rows[::2]) >= 36
+
+
 def test_components(spark):
     pick = random.Random(1)
     edges = [(pick.randrange(300), pick.randrange(300)) for _ in range(200)]
