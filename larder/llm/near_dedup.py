@@ -14,12 +14,14 @@ are decided in two steps. First each text of a bucket is compared with the bucke
 text, then in ``rounds`` more rounds others, drawn anew for each bucket and round, as long as the
 bucket holds texts of different classes and new pairs are proposed. This joins most of what is to be
 joined. Then all pairs of a bucket that are still in different classes are decided: the members
-are dealt into slices of bounded size, and a task compares two slices at a time. Lengths and a
+are dealt into slices of bounded size, and a task compares two slices at a time (the bucket's largest
+class is not compared with itself, so its members are not copied for each other). Lengths and a
 parity bitmap of the words rule out pairs that cannot be similar enough; the others are aligned,
 unless links found in the task have joined them. No candidate is left out, so a link is missed only
 if the two texts share no band and no chain of links joins them. Of texts with a share J of common
-runs that is (1 - J ** ``picks``) ** ``bands`` of the pairs: 0.1 % at 0.5, and 2 % at 0.38, the share
-that is left where every ninth word was changed, which is as far as ``similarity`` 0.8 goes.
+runs that is (1 - J ** ``picks``) ** ``bands`` of the pairs: 0.3 % at 0.6, 4 % at 0.5, and 25 % at 0.38,
+the share that is left where every ninth word by itself was changed, which is as far as
+``similarity`` 0.8 goes.
 
 Defined results: null and empty texts are equal texts; a text of fewer than ``k`` words is one run;
 a class is named by its least document id (null ids count only if there is no other); repeated rows
@@ -39,7 +41,7 @@ from pyspark.sql import functions as F
 from larder.llm.common import slices, stored, text_of
 from larder.llm.word_arrays import mixed, portions, runs
 
-K, PICKS, BANDS, SIMILARITY, ROUNDS = 5, 2, 24, 0.8, 3
+K, PICKS, BANDS, SIMILARITY, ROUNDS = 5, 3, 24, 0.8, 3
 #: Members and bytes of word codes of a slice of a bucket, on average; bits of a parity bitmap.
 SLICE, SLICE_BYTES, MARK = 500, 4 << 20, 2048
 
@@ -314,11 +316,19 @@ def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, code
     marks = stored(codes.join(open_.select("vid").distinct(), "vid", "left_semi").join(
         reps.select("vid", "keys"), "vid").select("vid", "codes", "keys").mapInArrow(
             marked, "vid bigint, keys array<bigint>, words bigint, mark binary"), "near-marks")
-    dealt = open_.join(marks.select("vid", "words"), "vid").groupBy("key").agg(F.ceil(F.greatest(
-        F.count("*") / SLICE, F.sum("words") * 4 / SLICE_BYTES)).cast("int").alias("n_slices"))
-    members = open_.join(dealt, "key").withColumn("n_slices", F.greatest("n_slices", F.lit(1)))\
-        .withColumn("own", F.pmod(F.xxhash64("vid", "key"), "n_slices").cast("int")).withColumn(
-            "other", F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1))).select(
+    # The largest class of a bucket has slices of its own, which meet those of the rest only.
+    per_class = open_.join(marks.select("vid", "words"), "vid").groupBy("key", "label").agg(
+        F.count("*").alias("n"), F.sum("words").alias("w"))
+    top = F.max(F.struct("n", "w", "label")).alias("top")
+    needed = lambda n, w: F.greatest(F.ceil(F.greatest(
+        n / SLICE, w * 4 / SLICE_BYTES)), F.lit(1)).cast("int")
+    dealt = per_class.groupBy("key").agg(top, F.sum("n").alias("n"), F.sum("w").alias("w")).select(
+        "key", F.col("top.label").alias("top"), needed(F.col("top.n"), F.col("top.w")).alias("a"),
+        needed(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("b"))
+    place, of_top = F.xxhash64("vid", "key"), F.col("label") == F.col("top")
+    members = open_.join(dealt, "key").withColumn("own", F.when(of_top, F.pmod(place, "a")).otherwise(
+        F.col("a") + F.pmod(place, "b")).cast("int")).withColumn("other", F.explode(F.sequence(
+            F.when(of_top, F.col("a")).otherwise(0), F.col("a") + F.col("b") - 1))).select(
             "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
             "own", "vid", "label")
     kind = "key bigint, i int, j int, vid bigint, label bigint"

@@ -234,8 +234,8 @@ def starred_rows():
         star = [" ".join(original)]
         for _ in range(size):
             words = list(original)
-            for at in pick.sample(range(5, 195), 12):
-                words[at] = f"edit{pick.randrange(10 ** 9)}"
+            for at in pick.sample(range(5, 195, 2), 6):
+                words[at:at + 2] = (f"edit{pick.randrange(10 ** 9)}" for _ in range(2))
             star.append(" ".join(words))
         pick.shuffle(star)
         rows += [(len(rows) + i, t) for i, t in enumerate(star)]
