@@ -9,9 +9,9 @@ M / (n1 + n2 - M) at least ``similarity``. Words are aligned and not runs, since
 takes ``k`` runs with it: texts of which every tenth word differs have hardly half of their runs in
 common, and are near copies all the same. Classes are the connected components of the links.
 
-Equal texts are one text from the start (by a 64-bit hash), however many copies there are. Candidates
-are decided in two steps. First each text of a bucket is compared with the bucket's hub: its least
-text, then in ``rounds`` more rounds others, drawn anew for each bucket and round, as long as the
+Equal texts are one text from the start (by two 64-bit hashes), however many copies there are; its
+vid is the first hash, or where different texts share that one the second. Candidates are decided
+in two steps. First each text of a bucket is compared with the bucket's hub: its least text, then in ``rounds`` more rounds others, drawn anew for each bucket and round, as long as the
 bucket holds texts of different classes and new pairs are proposed. This joins most of what is to be
 joined. Then all pairs of a bucket that are still in different classes are decided: the members
 are dealt into slices of bounded size, and a task compares two slices at a time (the bucket's largest
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import slices, stored, text_of
@@ -104,9 +104,9 @@ def sketch(k: int, bands: int, picks: int):
             flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
             ends = np.arange(len(keys) + 1, dtype=np.int32) * bands
             yield pa.RecordBatch.from_arrays(
-                [batch["vid"], batch["doc"],
+                [batch["hash"], batch["check"], batch["doc"],
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["vid", "doc", "keys"])
+                names=["hash", "check", "doc", "keys"])
     return sketches
 
 
@@ -371,25 +371,42 @@ def components(links: DataFrame, a: str = "vid", b: str = "hub") -> DataFrame:
             return labels
 
 
+def hashes(text: str) -> list[Column]:
+    """What tells a text from all others: two hashes of it."""
+    return [F.xxhash64(text_of(text)).alias("hash"),
+            F.xxhash64(F.lit("check"), text_of(text)).alias("check")]
+
+
+def numbered(found: DataFrame) -> DataFrame:
+    """A vid for every pair of hashes: the first one, or for the few that share it the second."""
+    clashes = stored(found.groupBy("hash").agg(
+        F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").select(
+        "hash", F.lit(True).alias("clash")), "near-clashes")
+    return found.join(clashes, "hash", "left").withColumn(
+        "vid", F.when(F.col("clash"), F.col("check")).otherwise(F.col("hash"))).drop("clash")
+
+
 def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
             similarity: float = SIMILARITY, rounds: int = ROUNDS, doc_id: str = "doc_id",
             text: str = "text") -> DataFrame:
-    """One row for each text: vid (its hash), first_doc (least id of its copies), label (least vid
-    of the class) and class_id."""
-    texts = docs.select(F.xxhash64(text_of(text)).alias("vid"),
-                        F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
+    """One row for each text: hash and check, vid, first_doc (least id of its copies), label (least
+    vid of the class) and class_id."""
+    texts = docs.select(*hashes(text), F.col(doc_id).cast("long").alias("doc"),
+                        F.col(text).alias("text"))
     sketched = texts.mapInArrow(sketch(k, bands, picks),
-                                "vid bigint, doc bigint, keys array<bigint>")
+                                "hash bigint, check bigint, doc bigint, keys array<bigint>")
     # Copies meet here, one row for each text and task.
-    reps = stored(sketched.groupBy("vid").agg(
-        F.min("doc").alias("first_doc"), F.first("keys").alias("keys")), "near-texts")
+    reps = numbered(stored(sketched.groupBy("hash", "check").agg(
+        F.min("doc").alias("first_doc"), F.first("keys").alias("keys")), "near-texts"))
     rows = reps.select("vid", F.explode("keys").alias("key"))
     buckets = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     shared = stored(rows.join(buckets, "key"), "near-buckets")
-    wanted = shared.select("vid").distinct().join(reps.select("vid", "first_doc"), "vid")
-    codes = stored(texts.alias("t").join(wanted.alias("w"), (F.col("t.vid") == F.col("w.vid"))
+    wanted = shared.select("vid").distinct().join(
+        reps.select("hash", "check", "vid", "first_doc"), "vid")
+    codes = stored(texts.alias("t").join(wanted.alias("w"), (F.col("t.hash") == F.col("w.hash"))
+                                         & (F.col("t.check") == F.col("w.check"))
                                          & F.col("t.doc").eqNullSafe(F.col("w.first_doc")))
-                   .select("t.vid", "t.text").mapInArrow(coded, "vid bigint, codes binary")
+                   .select("w.vid", "t.text").mapInArrow(coded, "vid bigint, codes binary")
                    .dropDuplicates(["vid"]), "near-codes")
 
     links = tested = labels = None
@@ -423,20 +440,21 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
     if not new.isEmpty():
         labels = components(new if links is None else links.unionByName(new))
     if labels is None:
-        return reps.select("vid", "first_doc", F.col("vid").alias("label"),
+        return reps.select("hash", "check", "vid", "first_doc", F.col("vid").alias("label"),
                            F.col("first_doc").alias("class_id"))
-    named = reps.select("vid", "first_doc").join(labels, "vid", "left").select(
-        "vid", "first_doc", F.coalesce("label", "vid").alias("label"))
+    named = reps.join(labels, "vid", "left").select(
+        "hash", "check", "vid", "first_doc", F.coalesce("label", "vid").alias("label"))
     least = named.groupBy("label").agg(F.min("first_doc").alias("class_id"))
-    return named.join(least, "label").select("vid", "first_doc", "label", "class_id")
+    return named.join(least, "label").select(
+        "hash", "check", "vid", "first_doc", "label", "class_id")
 
 
 def classified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                **options) -> DataFrame:
     """doc_id and class_id, one for every row of ``docs``."""
     found = classes(docs, doc_id=doc_id, text=text, **options)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_of(text)).alias("vid")).join(
-        found, "vid").select("doc_id", "class_id")
+    return docs.select(F.col(doc_id).alias("doc_id"), *hashes(text)).join(
+        found, ["hash", "check"]).select("doc_id", "class_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -446,9 +464,9 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = classes(docs, doc_id=doc_id, text=text, **options)
     # Of texts that share the naming id, the least one stands for the class.
     chosen = found.where(F.col("first_doc").eqNullSafe(F.col("class_id"))).groupBy("label").agg(
-        F.min(F.struct("vid", "class_id")).alias("m")).select("m.*")
-    rows = docs.select(F.xxhash64(text_of(text)).alias("vid"),
-                       F.col(doc_id).cast("long").alias("id"),
+        F.min(F.struct("vid", "hash", "check", "class_id")).alias("m")).select("m.*")
+    rows = docs.select(*hashes(text), F.col(doc_id).cast("long").alias("id"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return rows.alias("r").join(chosen.alias("c"), (F.col("r.vid") == F.col("c.vid"))
+    return rows.alias("r").join(chosen.alias("c"), (F.col("r.hash") == F.col("c.hash"))
+                                & (F.col("r.check") == F.col("c.check"))
                                 & F.col("r.id").eqNullSafe(F.col("c.class_id"))).select("r.row.*")

@@ -204,6 +204,22 @@ def test_classes_equal_brute_force(spark):
     assert near_dedup.classified(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_a_hash_stay_apart(spark, monkeypatch):
+    rows = near_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    known = near_dedup.hashes
+
+    def weak(text):
+        first, second = known(text)
+        return [F.pmod(first, F.lit(150)).alias("hash"), second]
+
+    monkeypatch.setattr(near_dedup, "hashes", weak)
+    got = near_dedup.classified(docs).collect()
+    assert sorted(((r.doc_id is not None, r.doc_id or 0), r.class_id or 0)
+                  for r in got) == brute_classes(rows)
+    assert {r.doc_id for r in near_dedup.one_of_each(docs).collect()} == {r.class_id for r in got}
+
+
 def spoken_twice():
     """Pairs of near copies of which the second says a sentence or a line again."""
     pick = random.Random(12)
