@@ -56,7 +56,7 @@ on_catalogue("latest_pull", lambda cat: bronze.latest_pull(cat.api_responses),
              f"""SELECT {API} FROM api_responses
                  WHERE pull_date = (SELECT max(ts)::DATE FROM events)""")
 on_catalogue("bronze_distinct_payloads",
-             lambda cat: bronze.distinct_payloads(cat.api_responses),
+             lambda cat: bronze.distinct_stored_payloads(cat.api_responses),
              "SELECT DISTINCT ts::DATE AS pull_date, event_type AS endpoint, props AS payload "
              "FROM events")
 on_catalogue("bronze_summary", lambda cat: bronze.summary(cat.api_responses),

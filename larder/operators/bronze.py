@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.calendar import as_date, iso_date
+from larder.session import work_dir
 
 
 def latest_pull(bronze: DataFrame) -> DataFrame:
@@ -22,6 +23,34 @@ def distinct_payloads(bronze: DataFrame) -> DataFrame:
     return bronze.select("pull_date", "endpoint", "payload").distinct()
 
 
+def distinct_stored_payloads(bronze: DataFrame) -> DataFrame:
+    """The same of pages read from Parquet files, whose place (file and row) tells copies apart.
+
+    Only digests and places are shuffled. The places of copies are written down, so that Spark
+    knows their size: a list that is small enough is broadcast and payloads go from the scan
+    straight to the result, a longer one costs a single shuffle of payloads, by place and so even
+    if one payload holds a third of all rows.
+    """
+    page, place = ["pull_date", "endpoint"], ["_file", "_row"]
+    pages = bronze.select(*page, "payload", F.col("_metadata.file_path").alias("_file"),
+                          F.col("_metadata.row_index").alias("_row"))
+    digests = _written(pages.select(*page, F.sha2("payload", 256).alias("_digest"), *place),
+                       "digests")
+    first = digests.groupBy(*page, "_digest").agg(
+        F.min(F.struct(*place)).alias("_first"), F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    d, f = digests.alias("d"), first.alias("f")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"f.{c}")) for c in (*page, "_digest")]
+    copies = _written(d.join(f, same).filter(F.struct(*place) != F.col("_first")).select(*place),
+                      "copies")
+    return pages.join(copies, place, "left_anti").select(*page, "payload")
+
+
+def _written(rows: DataFrame, purpose: str) -> DataFrame:
+    path = work_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def is_json(payload: Column) -> Column:
     return F.try_parse_json(payload).isNotNull()
 

@@ -32,6 +32,21 @@ def test_pages_pulled_twice_count_once_per_pull(spark):
     assert table(bronze.latest_pull(rows), "pull_date") == [("2026-02-10",)]
 
 
+def test_stored_copies_go_without_a_shuffle_of_payloads(spark, tmp_path):
+    rows = pages(spark, *[("2026-02-03", "menus", "{}")] * 3, ("2026-02-03", "tags", "{}"),
+                 ("2026-02-03", "menus", None), ("2026-02-03", "menus", None),
+                 ("2026-02-10", "menus", "{}"), ("2026-02-10", "menus", "{x"))
+    rows.repartition(3).write.parquet(f"{tmp_path}/pages")
+    stored = spark.read.parquet(f"{tmp_path}/pages")
+    found = bronze.distinct_stored_payloads(stored)
+    columns = ("pull_date", "endpoint", "payload")
+    assert sorted(map(str, table(found, *columns))) == sorted(
+        map(str, table(bronze.distinct_payloads(rows), *columns)))
+    assert found.count() == 5
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    assert bronze.distinct_stored_payloads(stored.limit(0)).count() == 0
+
+
 def test_page_audit_counts_the_stored_empty_page(spark):
     rows = pages(spark, ("2026-02-03", "menus", menu_page({"id": 1}, {"id": 2}, last_page=3)),
                  ("2026-02-03", "menus", '{"data": []}', 2),
