@@ -134,6 +134,29 @@ def test_hot_menu_is_split_and_whole(spark, skew_settings):
     assert got == {(*key, n) for key, n in wanted.items()}
 
 
+def test_links_are_not_multiplied_by_weeks_before_the_shuffle(spark, skew_settings):
+    """Each of 6 recipes is listed in 30 weeks; one ingredient is in all, one link is doubled."""
+    day = F.date_add(F.lit("2026-01-03").cast("date"), (F.col("id") * 7).cast("int"))
+    menus = spark.range(30).select("id", day.alias("start_date"), F.lit(1).alias("is_active"))
+    recipes = spark.range(6).select("id")
+    on = recipes.withColumnRenamed("id", "recipe_id").withColumn("is_active", F.lit(1))
+    listed = on.crossJoin(menus.select(F.col("id").alias("menu_id")))
+    links = on.withColumn("ingredient_id", F.lit(0)).unionByName(
+        on.withColumn("ingredient_id", F.col("recipe_id").cast("int") % 2 + 1)).unionByName(
+        on.filter("recipe_id = 5").withColumn("ingredient_id", F.lit(2)))
+    names = spark.range(3).select(F.col("id").cast("int").alias("ingredient_id"),
+                                  F.col("id").cast("string").alias("name"),
+                                  F.lit(1).alias("is_active"))
+    counts = gold.ingredient_week_counts(names, links, recipes, listed, menus)
+    assert table(counts.groupBy("ingredient_id").agg(
+        F.count("*").alias("weeks"), F.min("recipe_count").alias("low"),
+        F.max("recipe_count").alias("high"))) == [(0, 30, 6, 6), (1, 30, 3, 3), (2, 30, 4, 4)]
+    lines = plan_of(gold.ingredient_week_counts(names, links, recipes, listed, menus)).splitlines()
+    unpacked = [i for i, line in enumerate(lines) if "explode(_weeks" in line]
+    assert unpacked and "Exchange hashpartitioning(ingredient_id" in "".join(
+        lines[unpacked[0]:unpacked[0] + 4])
+
+
 def test_hot_key_is_combined_before_the_shuffle(spark):
     """A key with a third of all observations leaves each map task as one row."""
     rows = spark.range(90000, numPartitions=4).select(
