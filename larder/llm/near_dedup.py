@@ -97,16 +97,18 @@ def text_runs(codes: np.ndarray, k: int) -> np.ndarray:
 def sketch(k: int, bands: int, picks: int):
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys = []
+            keys, count = [], []
             for _, words in portions(batch["text"]):
                 for a, b in zip(words.first[:-1], words.first[1:]):
                     keys.append(order_sketch(text_runs(words.codes[a:b], k), bands, picks))
+                    count.append(int(b - a))
             flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
             ends = np.arange(len(keys) + 1, dtype=np.int32) * bands
             yield pa.RecordBatch.from_arrays(
                 [batch["hash"], batch["check"], batch["doc"],
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                names=["hash", "check", "doc", "keys"])
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                 pa.array(count, pa.int64())],
+                names=["hash", "check", "doc", "keys", "words"])
     return sketches
 
 
@@ -186,19 +188,18 @@ def verify(least: float):
 
 
 def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of a text, and for each of ``MARK`` bits whether an odd number of its labelled words
-    falls there: two texts differ in at least as many words as their bitmaps do in bits."""
+    """For each of ``MARK`` bits whether an odd number of a text's labelled words falls there: two
+    texts differ in at least as many words as their bitmaps do in bits."""
     for batch in slices(batches):
-        count, bits = [], []
+        bits = []
         for codes in batch["codes"]:
             found = words_in(codes)
             place = (labelled(found) % np.uint64(MARK)).astype(np.int64)
             odd = (np.bincount(place, minlength=MARK) & 1).astype(np.uint8)
-            count.append(len(found))
             bits.append(np.packbits(odd).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch["vid"], batch["keys"], pa.array(count, pa.int64()),
-             pa.array(bits, pa.binary())], names=["vid", "keys", "words", "mark"])
+            [batch["vid"], batch["keys"], pa.array(bits, pa.binary())],
+            names=["vid", "keys", "mark"])
 
 
 def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -315,9 +316,9 @@ def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, code
         .select("key"), "key"), "near-open")
     marks = stored(codes.join(open_.select("vid").distinct(), "vid", "left_semi").join(
         reps.select("vid", "keys"), "vid").select("vid", "codes", "keys").mapInArrow(
-            marked, "vid bigint, keys array<bigint>, words bigint, mark binary"), "near-marks")
+            marked, "vid bigint, keys array<bigint>, mark binary"), "near-marks")
     # The largest class of a bucket has slices of its own, which meet those of the rest only.
-    per_class = open_.join(marks.select("vid", "words"), "vid").groupBy("key", "label").agg(
+    per_class = open_.groupBy("key", "label").agg(
         F.count("*").alias("n"), F.sum("words").alias("w"))
     top = F.max(F.struct("n", "w", "label")).alias("top")
     needed = lambda n, w: F.greatest(F.ceil(F.greatest(
@@ -326,13 +327,17 @@ def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, code
         "key", F.col("top.label").alias("top"), needed(F.col("top.n"), F.col("top.w")).alias("a"),
         needed(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("b"))
     place, of_top = F.xxhash64("vid", "key"), F.col("label") == F.col("top")
-    members = open_.join(dealt, "key").withColumn("own", F.when(of_top, F.pmod(place, "a")).otherwise(
-        F.col("a") + F.pmod(place, "b")).cast("int")).withColumn("other", F.explode(F.sequence(
-            F.when(of_top, F.col("a")).otherwise(0), F.col("a") + F.col("b") - 1))).select(
-            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            "own", "vid", "label")
+    members = open_.join(dealt, "key").select(
+        "key", "vid", "label", "words", F.when(of_top, F.pmod(place, "a")).otherwise(
+            F.col("a") + F.pmod(place, "b")).cast("int").alias("own"),
+        F.when(of_top, F.col("a")).otherwise(0).alias("from"),
+        (F.col("a") + F.col("b") - 1).alias("to"))
+    # A member meets its bitmap once, and is then copied for each slice it is compared with.
+    copied = members.join(marks, "vid").withColumn(
+        "other", F.explode(F.sequence("from", "to"))).withColumns(
+        {"i": F.least("own", "other"), "j": F.greatest("own", "other")})
     kind = "key bigint, i int, j int, vid bigint, label bigint"
-    pairs = stored(members.join(marks, "vid").repartition(*parts).sortWithinPartitions(*parts)
+    pairs = stored(copied.repartition(*parts).sortWithinPartitions(*parts)
                    .select(*parts, "own", "vid", "label", "keys", "words", "mark").mapInArrow(
                        proposed(least), f"{kind}, others array<bigint>"), "near-possible")
     return stored(pairs.join(codes, "vid").repartition(*parts).sortWithinPartitions(*parts)
@@ -343,12 +348,18 @@ def left_over(shared: DataFrame, labels: DataFrame | None, reps: DataFrame, code
 # ---- classes -----------------------------------------------------------------------------------
 
 
+def long_enough(a: str, b: str, least: float) -> Column:
+    """Whether texts of so many words can be similar enough, as :func:`similar` finds first."""
+    need = F.lit(least / (1 + least)) * (F.col(a) + F.col(b))
+    return F.least(a, b) + F.lit(1e-9) >= need
+
+
 def in_classes(shared: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of buckets, each with the label of its class so far."""
     if labels is None:
         return shared.select("*", F.col("vid").alias("label"))
     return shared.join(labels, "vid", "left").select(
-        "key", "vid", F.coalesce("label", "vid").alias("label"))
+        "key", "vid", "words", F.coalesce("label", "vid").alias("label"))
 
 
 def components(links: DataFrame, a: str = "vid", b: str = "hub") -> DataFrame:
@@ -394,11 +405,13 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
     texts = docs.select(*hashes(text), F.col(doc_id).cast("long").alias("doc"),
                         F.col(text).alias("text"))
     sketched = texts.mapInArrow(sketch(k, bands, picks),
-                                "hash bigint, check bigint, doc bigint, keys array<bigint>")
+                                "hash bigint, check bigint, doc bigint, keys array<bigint>, "
+                                "words bigint")
     # Copies meet here, one row for each text and task.
     reps = numbered(stored(sketched.groupBy("hash", "check").agg(
-        F.min("doc").alias("first_doc"), F.first("keys").alias("keys")), "near-texts"))
-    rows = reps.select("vid", F.explode("keys").alias("key"))
+        F.min("doc").alias("first_doc"), F.first("keys").alias("keys"),
+        F.first("words").alias("words")), "near-texts"))
+    rows = reps.select("vid", "words", F.explode("keys").alias("key"))
     buckets = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     shared = stored(rows.join(buckets, "key"), "near-buckets")
     wanted = shared.select("vid").distinct().join(
@@ -414,11 +427,13 @@ def classes(docs: DataFrame, k: int = K, bands: int = BANDS, picks: int = PICKS,
         now = in_classes(shared, labels)
         order = F.col("vid") if turn == 0 else F.xxhash64("vid", "key", F.lit(turn))
         hubs = now.groupBy("key").agg(
-            F.min(F.struct(order.alias("at"), "vid", "label")).alias("hub"),
+            F.min(F.struct(order.alias("at"), "vid", "label", "words")).alias("hub"),
             F.min("label").alias("low"), F.max("label").alias("high")).where(
             "low <> high").select("key", F.col("hub.vid").alias("hub"),
-                                  F.col("hub.label").alias("hub_label"))
-        pairs = now.join(hubs, "key").where("label <> hub_label").select(
+                                  F.col("hub.label").alias("hub_label"),
+                                  F.col("hub.words").alias("hub_words"))
+        pairs = now.join(hubs, "key").where("label <> hub_label").where(
+            long_enough("words", "hub_words", similarity)).select(
             F.least("vid", "hub").alias("hub"), F.greatest("vid", "hub").alias("vid")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["vid", "hub"], "left_anti")
