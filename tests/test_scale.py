@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from larder.functions.ranking import number_within
 from larder.operators import gold, merge
+from larder.plans import Catalogue
 from larder.session import work_dir
 from larder.sources import landing
-from larder.sources.star import StarMenus, read_table
+from larder.sources.star import AS_OF, StarMenus, read_table
 from larder.sources.star_pages import StarPages
 from tests.helpers import table
 
@@ -81,6 +82,24 @@ def test_unused_spans_are_not_computed(spark, sf_dir):
     assert "Join" not in plan and "lineitem" not in plan
 
 
+def test_tables_of_a_catalogue_are_stored_once(spark, sf_dir, tmp_path):
+    """Gold tables and queries read the same stored links."""
+    home = str(tmp_path)
+    cat = Catalogue(StarMenus(spark, sf_dir).builders(), as_of=AS_OF).storing_silver(
+        home).storing_gold(home)
+    assert cat.menu_recipes.count() and cat.weekly_menu_metrics.count()
+    for name in ("menus", "menu_recipes", "weekly_items"):
+        assert len(list((tmp_path / name).glob("version=*"))) == 1, name
+
+
+def test_links_tracked_by_stored_recipes_do_not_read_lines(spark, sf_dir):
+    known = spark.createDataFrame([], "id long, first_seen_date date, last_seen_date date, "
+                                      "is_active int")
+    star = StarMenus(spark, sf_dir, lambda: known)
+    for rows in (star.recipe_allergens, star.allergens):
+        assert "lineitem" not in plan_of(rows)
+
+
 def test_top_per_week_is_cut_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in plan_of(entry.queries()["q16_top_allergens_per_week"](
         spark, sf_dir))
