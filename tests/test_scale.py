@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks import payload_checks
 from larder.functions.ranking import number_within
 from larder.operators import gold, merge
 from larder.plans import Catalogue, silver
@@ -12,6 +13,7 @@ from larder.session import work_dir
 from larder.sources import landing
 from larder.sources.star import AS_OF, StarMenus, read_table
 from larder.sources.star_pages import StarPages
+from tests.helpers import moment
 from tests.helpers import pages as bronze_pages
 from tests.helpers import table
 
@@ -130,6 +132,65 @@ def test_menu_pages_are_written_without_another_shuffle(spark, sf_dir, tmp_path)
     assert sorted(map(str, table(stored, *whole))) == sorted(map(str, table(pages.menus, *whole)))
 
 
+def test_pages_of_menus_and_recipes_share_the_shuffle_of_lines(spark, sf_dir, skew_settings,
+                                                               monkeypatch):
+    """They are landed together, and no document is shuffled."""
+    landed, append = [], landing.append_bronze
+    monkeypatch.setattr(landing, "append_bronze", lambda pages, path, dealt=False: landed.append(
+        (pages, dealt)) or append(pages, path, dealt))
+    payload_checks.bronze_pages.__wrapped__(spark, sf_dir)
+    (listings, dealt), = [each for each in landed if "l_partkey" in plan_of(each[0])]
+    assert dealt and {row["endpoint"] for row in listings.collect()} == {"menus", "recipes"}
+    assert "ReusedExchange" in plan_of(listings)
+
+
+def test_pages_of_repeated_and_missing_rows(spark, tmp_path):
+    """A part that comes twice is two recipes, a key with two parts as well, in the order of their
+    attributes; lines of a supplier are added up."""
+    day = moment("2001-03-05T00:00:00")
+    rows = {
+        "orders": ("o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string, "
+                   "o_custkey long", [(7, day, "1", 41), (8, None, "1", None)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_quantity double",
+                     [(7, 1, 2, 3.0), (7, 1, 2, 4.0), (7, 1, 29, 1.0), (7, 2, 3, None),
+                      (7, 60, 2, 5.0), (8, 1, None, 1.0), (None, 1, 2, 1.0), (9, 1, 2, 1.0)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_size int, p_type string",
+                 [(1, "a", "B", 17, "T"), (1, "a", "B", 17, "T"), (2, "x", "C", 50, "T"),
+                  (2, "w", None, 3, "U"), (60, "y", "D", None, None)]),
+    }
+    for name, (schema, held) in rows.items():
+        spark.createDataFrame(held, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    made = StarPages(spark, str(tmp_path))
+
+    def recipe(n, key, name, brand, size, kind, *used):
+        fields = [f'"n":{n}' if n else "", f'"id":{key}' if key else "", f'"name":"{name}"',
+                  f'"headline":"{brand}"' if brand else "",
+                  f'"difficulty":{size},"prep_time":"{size} mins"' if size else "",
+                  f'"servingSize":"2","imagePath":"img/{n or key}"',
+                  f'"cuisine":{{"name":"{kind}"}}' if kind else "",
+                  '"ingredients":[%s]' % ",".join(used)]
+        return "{%s}" % ",".join(filter(None, fields))
+
+    a = ('{"n":2,"id":"2","quantity":7,"unit":"g"}', '{"n":29,"id":"","quantity":1,"unit":"pcs"}')
+    b = '{"n":3,"id":"3","unit":"pcs"}'
+    first = recipe(1, 1, "a", "B", 17, None, *a)
+    unknown = recipe(1, 1, "a", "B", 17, None, '{"id":"","quantity":1,"unit":"pcs"}')
+    page = '{"data":[{"id":7,"url":"menu/7","year_week":"200103","start":"2001-03-01",' \
+           '"recipes":[%s]}],"meta":{"last_page":2}}'
+    assert table(made.menus, "pull_date", "page_number", "payload") == sorted([
+        ("2001-03-01", 1, page % ",".join([
+            first, first, recipe(2, None, "x", "C", 50, "T", b),
+            recipe(2, 2, "w", None, 3, "U", b)])),
+        ("2001-03-01", 2, page % recipe(60, None, "y", "D", None, None,
+                                        '{"n":2,"id":"2","quantity":5,"unit":"g"}')),
+        (None, 1, '{"data":[{"id":8,"url":"menu/8","recipes":[%s]}],"meta":{}}' % ",".join(
+            [unknown, unknown]))], key=lambda row: tuple((v is None, str(v)) for v in row))
+    twice = [text for pull, text in table(made.recipes, "pull_date", "payload")
+             if pull and '"id":1,' in text]
+    assert len(twice) == 2 and len(set(twice)) == 1
+    assert twice[0].startswith('{"data":{"id":1,"name":"a",') and twice[0].endswith("}}")
+
+
 def listed_thrice(spark):
     return bronze_pages(spark, *(
         ("2026-01-15", "menus", '{"data": [{"id": "m%d", "recipes": [{"id": "r%d", "name": "Soup",'
