@@ -172,3 +172,12 @@ def test_an_append_writes_its_batch_only(spark):
     parts = house.store("recipes").parts()
     assert [p.count() for p in parts] == [3, 1]
     assert len(table(house.table("recipes"))) == 4
+
+
+@pytest.mark.parametrize("dealt", [True, False])
+def test_a_file_holds_a_bounded_number_of_pages(spark, tmp_path, monkeypatch, dealt):
+    monkeypatch.setattr(landing, "PAGES", 2, raising=False)
+    rows = pages(spark, *(("2026-01-01", "menus", "{}", n) for n in range(5))).coalesce(1)
+    landing.append_bronze(rows, str(tmp_path), dealt=dealt)
+    held = landing.read_bronze(spark, str(tmp_path)).groupBy("_metadata.file_path").count()
+    assert sorted(r["count"] for r in held.collect()) == [1, 2, 2]

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from larder.functions.scalars import packed, unpacked
 from larder.operators import merge
 from larder.plans.silver import Warehouse, fold_bronze
 from larder.session import work_dir
@@ -138,3 +139,34 @@ def test_bridge_keys_are_pairs(spark):
 @pytest.mark.parametrize("name", ["tags", "labels"])
 def test_tables_without_rows_fold_to_nothing(spark, name):
     assert fold_bronze(pages(spark, listing("2026-01-15", "A")))[name].count() == 0
+
+
+def test_packed_texts_sort_as_their_fields_and_come_back(spark):
+    """Also with the characters that packing itself uses."""
+    some = (None, "", "a", "ab", "a\0", "a\0b", "\0", "\1", "\1\2", "\2", "\1\3\0", "\3", "é")
+    rows = spark.createDataFrame([(a, b, "z") for a in some for b in some],
+                                 "a string, b string, c string")
+    one = rows.select("*", packed(F.col("a"), F.col("b"), F.col("c")).alias("one"))
+    assert [tuple(r)[:3] for r in one.coalesce(1).sortWithinPartitions("one").collect()] == [
+        tuple(r) for r in rows.coalesce(1).sortWithinPartitions("a", "b", "c").collect()]
+    back = one.select(*(unpacked(F.col("one"), at).eqNullSafe(F.col(name)).alias(name)
+                        for at, name in enumerate("abc")))
+    assert back.filter("not (a and b and c)").isEmpty()
+
+
+def test_fold_shuffles_one_flat_version(spark):
+    """The last date and the texts side by side travel inside it, and the state is as it was."""
+    rows = spark.createDataFrame(
+        [("k", day("2026-01-02"), 2, None, "b", "c", 1.0, "d"),
+         ("k", day("2026-01-02"), 2, "", "b", "c", 0.5, None),
+         ("k", day("2026-01-02"), 1, "z", "b", "c", 2.0, "d"),
+         ("k", day("2026-01-01"), 9, "z", "b", "c", 2.0, "d")],
+        "k string, pull_date date, o int, a string, b string, c string, n double, d string")
+    state = merge.fold(rows, ["k"], ["a", "b", "c", "n", "d"], ["o"])
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("partial_max") == 1
+    assert state.schema.simpleString() == (
+        "struct<k:string,first_seen_date:date,last_seen_date:date,_written_:struct<at:struct<"
+        "pull:date,o:int>,value:struct<a:string,b:string,c:string,n:double,d:string>>>")
+    assert table(merge.published(state)) == [
+        ("k", "", "b", "c", 0.5, None, "2026-01-01", "2026-01-02", 1)]
